@@ -8,13 +8,13 @@ idempotent), so the remaining functions stay in generated code.
 from __future__ import annotations
 
 import sys
+import unicodedata
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import chain
 from operator import or_
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,12 +49,14 @@ def full_match(c: Column, *patterns: str) -> Column:
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _nfkc_arrays(values: pa.Array) -> pa.Array:
-    flat = pc.utf8_normalize(values.flatten(), form="NFKC")
-    lengths = pc.fill_null(pc.list_value_length(values), 0)
-    offsets = pa.concat_arrays(
-        [pa.array([0], pa.int32()), pc.cumulative_sum(lengths).cast(pa.int32())]
+    # Not pyarrow's own kernel: its NFKC leaves the marks decomposed.
+    def fix(v: str | None) -> str | None:
+        return v if v is None else unicodedata.normalize("NFKC", v)
+
+    return pa.array(
+        [None if row is None else [fix(v) for v in row] for row in values.to_pylist()],
+        pa.list_(pa.string()),
     )
-    return pa.ListArray.from_arrays(offsets, flat, mask=pc.is_null(values))
 
 
 def may_change_under_nfkc(c: Column) -> Column:
