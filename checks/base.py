@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulcra.session import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -25,8 +27,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# Tables whose rows are costly to process, with their unique key.
+COSTLY = {"documents": "doc_id", "pages": "page_id", "customer": "c_custkey"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, COSTLY[name]) if name in COSTLY else df
 
 
 # --- SQL building blocks ------------------------------------------------------

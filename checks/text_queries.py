@@ -127,8 +127,7 @@ def phone_extract_documents(spark, sf_dir):
     docs = T.nfkc_columns(table(spark, sf_dir, "documents").select("doc_id", "text"), ["text"])
     phones = T.extract_phones(F.col("text"))
     return docs.select("doc_id", T.clean_phone(F.col("text")).alias("phones"),
-                       F.coalesce(F.when(F.size(phones) >= 0, F.size(phones)), F.lit(None))
-                       .cast("bigint").alias("n_phones"))
+                       F.size(phones).cast("bigint").alias("n_phones"))
 
 
 @query("category_map", """

@@ -31,24 +31,24 @@ def is_phone_list(c: Column) -> Column:
 def has_extra_space(c: Column) -> Column:
     """Whitespace at an end, or two in a row."""
     s = f"[{chars.SPACE}]"
-    return sure(c.rlike(rf"\A{s}|{s}\z|{s}{{2}}"))
+    return sure(c.rlike(rf"{chars.UNICODE}\A{s}|{s}\z|{s}{{2}}"))
 
 
 def has_edge_space(c: Column) -> Column:
     s = f"[{chars.SPACE}]"
-    return sure(c.rlike(rf"\A{s}|{s}\z"))
+    return sure(c.rlike(rf"{chars.UNICODE}\A{s}|{s}\z"))
 
 
 def has_space_run(c: Column) -> Column:
-    return sure(c.rlike(f"[{chars.SPACE}]{{2}}"))
+    return sure(c.rlike(f"{chars.UNICODE}[{chars.SPACE}]{{2}}"))
 
 
 def is_residual(c: Column) -> Column:
     """P5: only punctuation, or a dash run before a word. Blank is not flagged."""
     s = f"[{chars.SPACE}]"
     return sure(
-        c.rlike(rf"\A{s}*[^{chars.ALNUM}{chars.SPACE}][^{chars.ALNUM}]*\z")
-        | c.rlike(rf"\A{s}*-{{2,}}{s}*[{chars.WORD}]")
+        c.rlike(rf"{chars.UNICODE}\A{s}*[^{chars.ALNUM}{chars.SPACE}][^{chars.ALNUM}]*\z")
+        | c.rlike(rf"{chars.UNICODE}\A{s}*-{{2,}}{s}*[{chars.WORD}]")
     )
 
 
@@ -92,4 +92,4 @@ def is_odd_phone(c: Column, markers: Sequence[str] = text.MISSING_MARKERS) -> Co
 
 def is_nonblank(c: Column) -> Column:
     """At least one non-whitespace character."""
-    return sure(c.rlike(f"[^{chars.SPACE}]"))
+    return sure(c.rlike(f"{chars.UNICODE}[^{chars.SPACE}]"))

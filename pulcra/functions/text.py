@@ -7,6 +7,7 @@ idempotent), so the remaining functions stay in generated code.
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from collections.abc import Mapping, Sequence
@@ -100,32 +101,47 @@ def pinned(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
 
 def collapse(c: Column) -> Column:
     """Whitespace runs to one space, none at the ends."""
-    return F.trim(F.regexp_replace(c, rf"[{chars.SPACE}]+", " "))
+    return F.trim(F.regexp_replace(c, rf"{chars.UNICODE}[{chars.SPACE}]+", " "))
+
+
+def drop_zero_width(c: Column) -> Column:
+    """Looked for first: hardly any value has one."""
+    zero_width = f"[{chars.ZERO_WIDTH}]"
+    return F.when(c.rlike(zero_width), F.regexp_replace(c, zero_width, "")).otherwise(c)
 
 
 def strip_accents(c: Column) -> Column:
-    """Drop Latin diacritics; ASCII values skip the table."""
+    """Drop Latin diacritics; ASCII values skip the table. ``translate``
+    deletes what has no counterpart, here the combining marks."""
     accented, plain = chars.accent_table()
-    folded = F.regexp_replace(F.translate(c, accented, plain), r"\p{Mn}", "")
+    folded = F.translate(c, accented + chars.MARKS, plain)
     return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(folded)
 
 
 def to_ascii(c: Column) -> Column:
-    """Transliterate Latin text; other scripts pass through unchanged."""
+    """Transliterate Latin text; other scripts pass through unchanged.
+    One table pass does single letters, and only values holding a letter with
+    a longer spelling go through the replacements."""
     single = {k: v for k, v in chars.ASCII_SPELLING.items() if len(v) == 1}
+    longer = {k: v for k, v in chars.ASCII_SPELLING.items() if len(v) > 1}
     accented, plain = chars.accent_table()
-    folded = F.translate(c, accented + "".join(single), plain + "".join(single.values()))
-    for letter, spelling in chars.ASCII_SPELLING.items():
-        if len(spelling) > 1:
-            folded = F.replace(folded, F.lit(letter), F.lit(spelling))
-    folded = F.regexp_replace(folded, r"\p{Mn}", "")
-    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(folded)
+    folded = F.translate(
+        c, accented + "".join(single) + chars.MARKS, plain + "".join(single.values())
+    )
+    spelled = folded
+    for letter, spelling in longer.items():
+        spelled = F.replace(spelled, F.lit(letter), F.lit(spelling))
+    return (
+        F.when(F.octet_length(c) == F.char_length(c), c)
+        .when(c.rlike(f"[{''.join(longer)}]"), spelled)
+        .otherwise(folded)
+    )
 
 
 def canonical(c: Column, *, upper: bool = True, ascii_only: bool = False) -> Column:
     """T1 (input already NFKC): no zero-width characters, single spaces,
     trimmed, optionally upper case and optionally ASCII. NULL becomes ''."""
-    out = collapse(F.regexp_replace(F.coalesce(c, F.lit("")), f"[{chars.ZERO_WIDTH}]", ""))
+    out = collapse(drop_zero_width(F.coalesce(c, F.lit(""))))
     if upper:
         out = F.upper(out)
     return to_ascii(out) if ascii_only else out
@@ -135,23 +151,44 @@ def has_alnum(c: Column) -> Column:
     return c.rlike(f"[{chars.ALNUM}]")
 
 
-def _is_marker(c: Column, markers: Sequence[str]) -> Column:
+def _may_be_marker(c: Column, markers: Sequence[str]) -> Column:
+    """Gate: the first visible character starts some marker, in any case."""
+    starts = "".join(sorted({re.escape(m[0]) for m in markers if m}))
+    skip = f"[{chars.SPACE}{chars.ZERO_WIDTH}]*"
+    return c.rlike(rf"(?iuU)\A{skip}(?:[{starts}]|\z)")
+
+
+def equals_marker(
+    c: Column, markers: Sequence[str] = MISSING_MARKERS, folded: Column | None = None
+) -> Column:
+    """The folded value (default: canonical) is one of the markers. Folding
+    runs only for values that pass the gate."""
+    folded = canonical(c) if folded is None else folded
+    return F.coalesce(
+        F.when(_may_be_marker(c, markers), folded.isin(*markers)), F.lit(False)
+    )
+
+
+def _void(t: Column, markers: Sequence[str]) -> Column:
     """On canonical text. Markers without a letter or digit need no lookup."""
-    words = [m for m in markers if any(ch.isalnum() for ch in m)]
-    return ~has_alnum(c) | c.isin(*words)
+    return ~has_alnum(t) | t.isin(*[m for m in markers if any(ch.isalnum() for ch in m)])
 
 
 def is_missing(c: Column, markers: Sequence[str] = MISSING_MARKERS) -> Column:
     """NULL, a marker, or no letter or digit at all (cleaning sense)."""
-    return c.isNull() | _is_marker(canonical(c), markers)
+    return c.isNull() | ~has_alnum(c) | equals_marker(c, markers)
+
+
+def keep_present(t: Column, markers: Sequence[str] = MISSING_MARKERS) -> Column:
+    """Canonical text, or NULL where it means "no value"."""
+    return F.when(~_void(t, markers), t)
 
 
 def clean_text(
     c: Column, *, ascii_only: bool = False, markers: Sequence[str] = MISSING_MARKERS
 ) -> Column:
     """Canonical text, or NULL where the value is missing."""
-    text = canonical(c)
-    cleaned = F.when(~_is_marker(text, markers), text)
+    cleaned = keep_present(canonical(c), markers)
     return to_ascii(cleaned) if ascii_only else cleaned
 
 
@@ -165,45 +202,60 @@ def clean_columns(
     )
 
 
-def strip_leading_dashes(c: Column, markers: Sequence[str] = MISSING_MARKERS) -> Column:
-    """T4: a decorative run of two or more hyphens before a word goes away."""
+# The next four come in pairs: the operator on a raw value, and its core on
+# text that T3 has been through already.
+
+
+def drop_dashes(t: Column) -> Column:
     return F.regexp_replace(
-        clean_text(c, markers=markers), rf"\A-{{2,}}[{chars.SPACE}]*(?=[{chars.WORD}])", ""
+        t, rf"{chars.UNICODE}\A-{{2,}}[{chars.SPACE}]*(?=[{chars.WORD}])", ""
     )
 
 
+def strip_leading_dashes(c: Column, markers: Sequence[str] = MISSING_MARKERS) -> Column:
+    """T4: a decorative run of two or more hyphens before a word goes away."""
+    return drop_dashes(clean_text(c, markers=markers))
+
+
+def keep_shape(t: Column, *patterns: str) -> Column:
+    squeezed = F.replace(t, F.lit(" "), F.lit(""))
+    return F.when(full_match(squeezed, *patterns), squeezed)
+
+
 def clean_identifier(
     c: Column, *patterns: str, markers: Sequence[str] = MISSING_MARKERS
 ) -> Column:
     """Canonical text without spaces, kept only in one of the shapes."""
-    squeezed = F.replace(clean_text(c, markers=markers), F.lit(" "), F.lit(""))
-    return F.when(full_match(squeezed, *patterns), squeezed)
+    return keep_shape(clean_text(c, markers=markers), *patterns)
 
 
-def extract_phones(c: Column, markers: Sequence[str] = MISSING_MARKERS) -> Column:
+def extract_phones(c: Column) -> Column:
     """Distinct complete phone numbers in order of appearance. A maximal
-    digit run of length eight is what lookarounds would find."""
-    runs = F.regexp_extract_all(clean_text(c, markers=markers), F.lit(f"({chars.DIGIT}+)"), 1)
+    digit run of length eight is what lookarounds would find; of the canonical
+    form only the removal of zero-width characters can affect digits."""
+    runs = F.regexp_extract_all(drop_zero_width(c), F.lit(f"({chars.DIGIT}{{8,}})"), 1)
     return F.array_distinct(F.filter(runs, lambda run: full_match(run, PHONE)))
 
 
-def clean_phone(c: Column, markers: Sequence[str] = MISSING_MARKERS) -> Column:
+def clean_phone(c: Column) -> Column:
     """Phones joined by the separator, NULL when there is none."""
-    phones = extract_phones(c, markers)
-    return F.when(F.size(phones) > 0, F.array_join(phones, PHONE_SEPARATOR))
+    return F.nullif(F.array_join(extract_phones(c), PHONE_SEPARATOR), F.lit(""))
 
 
-def map_category(
-    c: Column, mapping: Mapping[str, str], markers: Sequence[str] = MISSING_MARKERS
-) -> Column:
-    """T9 with a small literal map; use ``catalog.map_column`` for a table."""
-    key = clean_text(c, ascii_only=True, markers=markers)
+def map_key(key: Column, mapping: Mapping[str, str]) -> Column:
     if not mapping:
         return key
     literal = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
     return F.coalesce(literal[key], key)
 
 
+def map_category(
+    c: Column, mapping: Mapping[str, str], markers: Sequence[str] = MISSING_MARKERS
+) -> Column:
+    """T9 with a small literal map; use ``catalog.map_column`` for a table."""
+    return map_key(clean_text(c, ascii_only=True, markers=markers), mapping)
+
+
 # --- comparison keys ---------------------------------------------------------
 
 
@@ -214,7 +266,7 @@ def comparison_text(c: Column) -> Column:
 
 def is_blank_like(c: Column, markers: Sequence[str] = MISSING_MARKERS) -> Column:
     """The profiling sense of missing."""
-    return c.isNull() | _is_marker(comparison_text(c), markers)
+    return c.isNull() | ~has_alnum(c) | equals_marker(c, markers, comparison_text(c))
 
 
 def place_key(c: Column) -> Column:

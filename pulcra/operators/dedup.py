@@ -34,9 +34,10 @@ def with_keys(df: DataFrame, p: Profile) -> DataFrame:
     """Similarity keys, block keys and the unit key of each row."""
     keyed = df.select("*", F.col(p.title).alias("_title"), F.col(p.address).alias("_address"))
     keyed = text.nfkc_columns(keyed, ["_title", "_address"])
+    keyed = keyed.withColumns({c: text.canonical(F.col(c)) for c in ("_title", "_address")})
     keyed = text.pinned(keyed, {
-        "_title": text.similarity_key(F.col("_title")),
-        "_address": text.similarity_key(F.col("_address")),
+        "_title": F.translate(text.to_ascii(F.col("_title")), ".,", ""),
+        "_address": F.translate(text.to_ascii(F.col("_address")), ".,", ""),
         "_phone": F.coalesce(F.col(p.phone), F.lit("")),
     })
     blank = F.lit("")

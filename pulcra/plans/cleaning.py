@@ -113,7 +113,8 @@ def clean_stages(df: DataFrame, p: Profile, catalogue: DataFrame) -> tuple[DataF
     std = {c: f"std|{c}" for c in p.columns}
     wide = df.select(p.row_id, *p.columns, *[F.col(c).alias(std[c]) for c in p.columns])
     wide = text.nfkc_columns(wide, list(std.values()))
-    wide = text.pinned(wide, {s: text.clean_text(F.col(s), markers=m) for s in std.values()})
+    wide = text.pinned(wide, {s: text.canonical(F.col(s)) for s in std.values()})
+    wide = wide.withColumns({s: text.keep_present(F.col(s), m) for s in std.values()})
     for c in p.columns:
         log.append(Logged(c, "standardise", _changed(c, std[c]), only_real=False, always=False))
 
@@ -122,13 +123,14 @@ def clean_stages(df: DataFrame, p: Profile, catalogue: DataFrame) -> tuple[DataF
     wide = wide.withColumn("real", ~empty)
     log.append(Logged(ALL_COLUMNS, "drop_empty", ~F.col("real"), only_real=False))
 
+    # From here on every input is canonical and present, or NULL.
     # Identifiers and phone.
     out = {}
     shapes = {p.code: p.code_patterns, **p.identifiers}
     for c, patterns in shapes.items():
-        out[f"out|{c}"] = text.clean_identifier(F.col(std[c]), *patterns, markers=m)
+        out[f"out|{c}"] = text.keep_shape(F.col(std[c]), *patterns)
         log.append(Logged(c, "identifier", _changed(std[c], f"out|{c}")))
-    out[f"out|{p.phone}"] = text.clean_phone(F.col(std[p.phone]), m)
+    out[f"out|{p.phone}"] = text.clean_phone(F.col(std[p.phone]))
     log.append(Logged(p.phone, "identifier", _changed(std[p.phone], f"out|{p.phone}")))
 
     # The zone is read from the places before they are repaired.
@@ -139,9 +141,9 @@ def clean_stages(df: DataFrame, p: Profile, catalogue: DataFrame) -> tuple[DataF
         in_capital = parent.eqNullSafe(F.lit(z.capital))
         out[f"out|{z.column}"] = text.derive_when(parent, z.capital, child, z.derive_pattern)
         log.append(Logged(z.column, "zone", F.col(f"out|{z.column}").isNotNull()))
-    out[f"out|{p.parent}"] = text.map_category(parent, p.parent_map, m)
+    out[f"out|{p.parent}"] = text.map_key(text.to_ascii(parent), p.parent_map)
     log.append(Logged(p.parent, "parent", _changed(std[p.parent], f"out|{p.parent}")))
-    mapped = text.map_category(child, p.child_map, m)
+    mapped = text.map_key(text.to_ascii(child), p.child_map)
     if p.zone is not None:
         mapped = F.when(in_capital, F.lit(p.zone.child)).otherwise(mapped)
     out["mapped_child"] = mapped
@@ -151,16 +153,16 @@ def clean_stages(df: DataFrame, p: Profile, catalogue: DataFrame) -> tuple[DataF
     for c in p.free_text:
         done = F.col(std[c])  # standardising again would change nothing
         if c == p.dashed:
-            done = text.strip_leading_dashes(done, m)
+            done = text.drop_dashes(done)
             log.append(Logged(c, "dashes", _changed(std[c], f"out|{c}"), always=False))
         out[f"out|{c}"] = done
     for c in p.categories:
-        out[f"out|{c}"] = text.clean_text(F.col(std[c]), ascii_only=True, markers=m)
+        out[f"out|{c}"] = text.to_ascii(F.col(std[c]))
         log.append(Logged(c, "category", _changed(std[c], f"out|{c}"), always=False))
     for c in p.columns:
         if c != p.child:
             out.setdefault(f"out|{c}", F.col(std[c]))
-    wide = text.pinned(wide, out)
+    wide = wide.withColumns(out)
 
     # Children outside the catalogue of their parent become NULL.
     wide = flag_places(wide, f"out|{p.parent}", "mapped_child", catalogue)
