@@ -13,7 +13,7 @@ from checks.text_queries import CODE, DISTRICT, s_phone_list
 from pulcra.operators import metrics as M
 from pulcra.operators import validation as V
 from pulcra.plans.cleaning import audit_log, clean, clean_stages, cleaned_rows
-from pulcra.plans.compare import quality_before_after
+from pulcra.plans.compare import quality_before_after, stored
 
 COLS = list(COLUMNS)
 OUT = list(DEMO.clean_columns)
@@ -331,7 +331,7 @@ SELECT list_position([{', '.join(repr(m) for m in M.METRICS)}], b.metric) AS pos
   a.value AS after, b.columns AS before_columns, a.columns AS after_columns
 FROM registry_m b JOIN cleaned_m a ON a.metric = b.metric""")
 def quality(spark, sf_dir):
-    return quality_before_after(registry(spark, sf_dir), DEMO, catalogue(spark, sf_dir))
+    return quality_before_after(stored(registry(spark, sf_dir)), DEMO, catalogue(spark, sf_dir))
 
 
 _CORRECTIONS = {

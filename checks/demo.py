@@ -59,8 +59,8 @@ FROM (
     JOIN {nation} n ON c.c_nationkey = n.n_nationkey
     JOIN {region} r ON n.n_regionkey = r.r_regionkey
     LEFT JOIN {part} p ON p.p_partkey = c.c_custkey
-    JOIN (SELECT 0 AS copy UNION ALL SELECT 1 AS copy) copies
-      ON copies.copy = 0 OR c.c_custkey % 103 = 9
+    JOIN (SELECT * FROM (VALUES (0, 0), (1, 0), (1, 1)) v(planted, copy)) copies
+      ON copies.planted = CASE WHEN c.c_custkey % 103 = 9 THEN 1 ELSE 0 END
   ) base
 ) filled
 UNION ALL

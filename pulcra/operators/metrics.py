@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pulcra.functions import text
 from pulcra.functions import predicates as P
 from pulcra.operators.dedup import near_duplicates, pair_totals
-from pulcra.operators.profiling import exact_duplicates, percent
+from pulcra.operators.profiling import exact_duplicates, percent, real_rows
 from pulcra.profile import Profile
 
 METRICS = (
@@ -115,8 +115,7 @@ def stage_metrics(df: DataFrame, p: Profile, *, raw: bool, review: DataFrame | N
     out = out.unionByName(copies.select(
         F.inline(F.array(row("exact_duplicates", F.col("duplicates"))))))
     if review is None:
-        real = folded.where("real").select(*df.columns)
-        review = near_duplicates(real, p)
+        review = near_duplicates(real_rows(df, columns), p)
     totals = pair_totals(review)
     return out.unionByName(totals.select(F.inline(F.array(
         row("duplicate_pairs", F.col("pairs")), row("duplicate_records", F.col("records"))))))
