@@ -219,7 +219,10 @@ def real_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """M1: rows that are not missing in all of the columns."""
     keys = [f"__f{i}" for i in range(len(columns))]
     folded = df.select("*", *[F.col(c).alias(k) for c, k in zip(columns, keys)])
-    return text.nfkc_columns(folded, keys).where(~all_blank(keys)).drop(*keys)
+    # Pinned: otherwise the long condition is pushed down, copied into every
+    # branch that reads these rows, and multiplied by constraint inference.
+    flagged = text.pinned(text.nfkc_columns(folded, keys), {"__real": ~all_blank(keys)})
+    return flagged.where("__real").select(*df.columns)
 
 
 def exact_duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
