@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import WS, query, s_ascii, s_canonical, s_clean, s_missing, s_percent, s_place, s_void
+from checks.base import WS, query, s_ascii, s_canonical, s_missing, s_percent, s_place, s_void
 from checks.demo import (
     CATALOGUE, CHILD_MAP_SQL, COLUMNS, DEMO, REGIONS, REGISTRY, SEGMENTS, catalogue, registry,
 )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.base import (
-    query, s_ascii, s_canonical, s_clean, s_collapse, s_compare, s_missing, s_place, s_void, table,
+    query, s_ascii, s_canonical, s_clean, s_compare, s_missing, s_place, s_void, table,
 )
 from checks.demo import DEMO, REGISTRY, registry
 from pulcra.functions import predicates as P
