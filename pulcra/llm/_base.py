@@ -56,8 +56,9 @@ def is_held_out(doc_id: Column) -> Column:
 
 def salted(small: DataFrame, salts: int = SALTS) -> DataFrame:
     """Every row of ``small`` once per salt, so that rows of one hot key meet
-    it in ``salts`` tasks."""
-    return small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    it in ``salts`` tasks. The size estimate does not know of the copies, so the
+    join is told not to broadcast them."""
+    return small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
 
 
 def salt_of(*cols: Column, salts: int = SALTS) -> Column:

@@ -113,7 +113,9 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     masks = F.array(*[_long(cell) for cell, _ in spans])
     cells = fps.select("_fp", F.posexplode(
         F.transform(masks, lambda m: embedding(F.col("_fp")).bitwiseAND(m))).alias("_grid", "_cell"))
-    a = cells.toDF("a", "a_grid", "a_cell")
+    # Estimates do not know of the 70 cells per row: without the hint small
+    # inputs would broadcast them.
+    a = cells.toDF("a", "a_grid", "a_cell").hint("merge")
     b = cells.toDF("b", "b_grid", "b_cell")
     apart = embedding(F.col("a")).bitwiseXOR(embedding(F.col("b")))
     differs = apart  # to the lowest bit of each byte: whether the band has any difference
