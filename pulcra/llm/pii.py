@@ -128,10 +128,10 @@ def disclosures(docs: DataFrame, found: DataFrame, near: DataFrame, text_col: st
     entities = found.filter("_row is not null").select(F.explode(F.array_distinct(F.transform(
         "_spans", lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"))))).alias("e")).groupBy("e.kind", "e.value").agg(
         F.count(F.lit(1)).alias("n_entity"))
-    n = docs.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    counted = both.join(terms, "term").join(entities, ["kind", "value"]).join(F.broadcast(n))
-    told = F.log2(F.col("n") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    return counted.select("kind", "value", "term", F.try_divide(told, F.log2(F.col("n") / F.col("n_entity"))).alias("disclosure"))
+    n = F.lit(float(found.count()))
+    counted = both.join(terms, "term").join(entities, ["kind", "value"])
+    told = F.log2(n * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    return counted.select("kind", "value", "term", F.try_divide(told, F.log2(n / F.col("n_entity"))).alias("disclosure"))
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT) -> DataFrame:
