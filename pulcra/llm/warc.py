@@ -228,4 +228,5 @@ FROM w
 def op1(spark, sf_dir):
     path = scratch_path(spark, "warc")
     write_archive(table(spark, sf_dir, "pages"), path)
-    return page_table(assemble(read_archive(spark, path, payload=False)))
+    records = stored(read_archive(spark, path, payload=False), "records")  # parsed once, used by several joins
+    return page_table(assemble(records))
