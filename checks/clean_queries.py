@@ -12,7 +12,7 @@ from checks.dedup_queries import near_dup_before_after, s_review
 from checks.text_queries import CODE, DISTRICT, s_phone_list
 from pulcra.operators import metrics as M
 from pulcra.operators import validation as V
-from pulcra.plans.cleaning import audit_log, clean, clean_stages, cleaned_rows
+from pulcra.plans.cleaning import STEPS, audit_log, clean, clean_stages, cleaned_rows
 from pulcra.plans.compare import quality_before_after, stored
 
 COLS = list(COLUMNS)
@@ -91,13 +91,14 @@ def _log_lines() -> str:
     return " UNION ALL ".join(lines)
 
 
-LOG = f"{s_review('cleaned')}, lines AS ({_log_lines()}), audit AS (SELECT * FROM lines WHERE always OR affected > 0)"
+SAID = ", ".join(f"({', '.join(repr(x) if chr(39) not in x else chr(39) + x.replace(chr(39), chr(39) * 2) + chr(39) for x in (k, *v))})" for k, v in STEPS.items())
+LOG = f"said(step, problem, transformation, justification) AS (VALUES {SAID}), {s_review('cleaned')}, lines AS ({_log_lines()}), audit AS (SELECT * FROM lines WHERE always OR affected > 0)"
 
 
-@query("audit_log", f"{BASE}, {LOG} SELECT step_no, variable, affected FROM audit")
+@query("audit_log", f"{BASE}, {LOG} SELECT step_no, variable, step, problem, transformation, affected, justification FROM audit JOIN said USING (step)")
 def audit(spark, sf_dir):
     return clean(registry(spark, sf_dir), DEMO, catalogue(spark, sf_dir)).audit.select(
-        "step_no", "variable", "affected").orderBy("step_no")
+        "step_no", "variable", "step", "problem", "transformation", "affected", "justification").orderBy("step_no")
 
 
 query("near_dup_before_after", f"""{BASE}, {s_review('registry', 'r_')}, {s_review('cleaned', 'c_')}

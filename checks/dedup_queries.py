@@ -66,8 +66,7 @@ def s_review(src: str, pre: str = "") -> str:
     diff = ", ".join(f"CASE WHEN l.{c} IS DISTINCT FROM r.{c} THEN '{c}' END" for c in COMPARED)
 
     def said(what: str) -> str:
-        return (f"CASE WHEN {what[0]}_score = 100 THEN '{what} exact' "
-                f"ELSE '{what} ' || format('{{:.2f}}', round_even({what[0]}_score, 2)) END")
+        return f"'{what}=' || format('{{:.2f}}', round_even({what[0]}_score, 2))"
 
     return s_pairs(src, pre) + f""",
 {pre}cand AS (SELECT l.row_id AS row_id_1, r.row_id AS row_id_2, l.code AS code_1, r.code AS code_2,
@@ -83,10 +82,8 @@ def s_review(src: str, pre: str = "") -> str:
     round_even(t_score, 2) AS title_similarity, round_even(a_score, 2) AS address_similarity, same_phone,
     differing_fields, CASE WHEN t_score = 100 AND a_score = 100 AND same_phone THEN 'MUY ALTA' ELSE 'ALTA' END AS match_level,
     'CONSERVAR' AS decision,
-    'Pair ' || coalesce(code_1, '<NA>') || ' / ' || coalesce(code_2, '<NA>') || ': ' || {said('title')} || '; '
-      || {said('address')} || '; ' || CASE WHEN same_phone THEN 'same phone' ELSE 'phone differs or is missing' END
-      || '; differing fields: ' || differing_fields
-      || '. Both codes are official identifiers; both records are kept.' AS justification
+    {said('title')} || '; ' || {said('address')} || '; phone=' || CASE WHEN same_phone THEN 'equal' ELSE 'not equal' END
+      || '; differs=' || differing_fields AS justification
   FROM {pre}c3 WHERE t_score >= 94 AND (a_score >= 85 OR same_phone OR same_address))"""
 
 
@@ -152,6 +149,27 @@ def near_dup_review(spark, sf_dir):
     return D.near_duplicates(registry(spark, sf_dir), DEMO).orderBy("row_id_1", "row_id_2")
 
 
+_TOGETHER = " AND ".join(f"l.{c} IS NOT DISTINCT FROM r.{c}" for c in UNIT)
+
+
+@query("near_dup_review_complete", f"""
+WITH {REGISTRY}, {s_pairs('registry')},
+e AS (SELECT {', '.join(UNIT)}, tk, ak, ph, min(row_id) AS first, count(*) AS copies FROM blk WHERE tk <> '' GROUP BY ALL),
+c0 AS (SELECT l.first AS i, r.first AS j, l.copies AS copies_1, r.copies AS copies_2, l.ph <> '' AND l.ph = r.ph AS same_phone,
+    l.ak <> '' AND l.ak = r.ak AS same_address, {s_tokens('l.tk')} AS tl, {s_tokens('r.tk')} AS tr,
+    {s_tokens('l.ak')} AS al, {s_tokens('r.ak')} AS ar
+  FROM e l JOIN e r ON {_TOGETHER} AND l.first < r.first),
+c1 AS (SELECT *, {_T1}, {_A1} FROM c0), c2 AS (SELECT *, {_T2}, {_A2} FROM c1), c3 AS (SELECT *, {_T3}, {_A3} FROM c2)
+SELECT i AS first_row_id_1, j AS first_row_id_2, copies_1, copies_2, t_score AS title_score, a_score AS address_score, same_phone
+FROM c3 WHERE t_score >= 94 AND (a_score >= 85 OR same_phone OR same_address)
+UNION ALL SELECT first, first, copies, copies, 100.0::DOUBLE,
+  CASE WHEN len({s_tokens('ak')}) > 0 THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END, ph <> ''
+FROM e WHERE copies > 1 AND (ph <> '' OR ak <> '')""")
+def near_dup_review_complete(spark, sf_dir):
+    """Every pair of a unit is compared by the SQL; the joins find the same."""
+    return D.review_groups(registry(spark, sf_dir), DEMO)
+
+
 DECIDED = """decided AS (SELECT row_id_1, row_id_2, CASE WHEN row_id_2 % 3 = 0 THEN 'ELIMINAR'
   WHEN row_id_2 % 3 = 1 THEN 'Corregir' ELSE 'CONSERVAR' END AS decision FROM review)"""
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.base import table
 from pulcra.functions.chars import DIGIT
-from pulcra.profile import Profile, Zone
+from pulcra.profile import PUBLISHED_REVIEW, Profile, Zone
 
 COLUMNS = (
     "code", "district", "parent", "child", "name", "address", "phone", "director",
@@ -116,6 +116,7 @@ DEMO = Profile(
     child_map=CHILD_MAP,
     unit=_UNIT,
     compared=("district", "name", "address", "phone", "director", *_UNIT),
+    **PUBLISHED_REVIEW,
 )
 
 

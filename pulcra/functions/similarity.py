@@ -56,13 +56,17 @@ def lcs_length(left: pa.Array, right: pa.Array) -> pa.Array:
     """Length of the longest common subsequence; NULL in, NULL out."""
     xs, ys = left.to_pylist(), right.to_pylist()
     live = [i for i, (a, b) in enumerate(zip(xs, ys)) if a is not None and b is not None]
-    live.sort(key=lambda i: len(ys[i]))
+    # The shorter text gives the table's width, so a long one costs steps only.
+    for i in live:
+        if len(xs[i]) < len(ys[i]):
+            xs[i], ys[i] = ys[i], xs[i]
+    live.sort(key=lambda i: len(xs[i]))
     out: list[int | None] = [None] * len(xs)
     start = 0
     while start < len(live):
-        # Pairs are sorted by width, so size the chunk by its own widest pair.
+        # Pairs are sorted by their longer text, so the last one added bounds both widths.
         stop, budget = start + 1, _CELLS_PER_CHUNK
-        while stop < len(live) and (stop - start + 1) * (len(ys[live[stop]]) + 1) <= budget:
+        while stop < len(live) and (stop - start + 1) * (2 * len(xs[live[stop]]) + 1) <= budget:
             stop += 1
         part = live[start:stop]
         for i, n in zip(part, _lcs_chunk([xs[i] for i in part], [ys[i] for i in part])):

@@ -3,14 +3,14 @@
 Shape of the work at scale:
 
 * block sizes are counted from the key columns alone, pre-aggregated per task;
-* blocks above the limit are removed by an anti join against the (few) block
-  keys over the limit, *before* rows are paired, so a hot block never meets
-  itself. That rule is part of the result's definition: such a block has no
-  pairs. Nothing vanishes silently: :func:`oversized_blocks` lists every such
-  block with its size, and :func:`oversized_copies` lists, in linear size, the
-  groups of identical entries inside them;
-* what remains is an equi-join on (block, unit) with at most ``limit - 1``
-  partners per row, carrying each row's token sets built once.
+* there is no limit unless the profile sets one (PUBLISHED_REVIEW does, to
+  repeat the published review). Blocks above a limit are then removed by an
+  anti join against the (few) block keys over it, *before* rows are paired;
+  :func:`oversized_blocks` and :func:`oversized_copies` report them;
+* :func:`review_groups` is the complete review: equal entries are one row, and
+  candidates come from equi-joins that the match rule implies;
+* what remains is an equi-join on (block, unit), carrying each row's token
+  sets built once.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pulcra.functions import text
 from pulcra.functions.rowhash import row_digest, row_text
 from pulcra.functions.similarity import tokens, with_token_set_score
-from pulcra.profile import Profile
+from pulcra.profile import PUBLISHED_REVIEW, Profile
+from pulcra.session import written
 
 REVIEW_COLUMNS = (
     "row_id_1", "row_id_2", "code_1", "code_2", "title_1", "title_2", "address_1",
@@ -44,7 +45,7 @@ def with_keys(df: DataFrame, p: Profile) -> DataFrame:
     return keyed.withColumns({
         "_title_block": F.concat_ws(
             "|", F.coalesce(F.col(p.parent), blank), F.coalesce(F.col(p.child), blank),
-            F.substring("_title", 1, p.block_prefix),
+            F.substring("_title", 1, p.block_prefix) if p.block_prefix else F.col("_title"),
         ),
         "_phone_block": F.when(
             F.col("_phone") != "", row_text([p.parent, p.child, "_phone"])
@@ -64,8 +65,12 @@ def block_rows(keyed: DataFrame) -> DataFrame:
     ).where(F.col("_block").isNotNull())
 
 
-def _limit(p: Profile) -> Column:
-    return F.when(F.col("_how") == "title", p.title_block_limit).otherwise(p.phone_block_limit)
+def _over(p: Profile) -> Column:
+    """Whether a block is above the limit the profile sets, if it sets one."""
+    def over(limit: int | None) -> Column:
+        return F.lit(False) if limit is None else F.col("size") > limit
+
+    return F.when(F.col("_how") == "title", over(p.title_block_limit)).otherwise(over(p.phone_block_limit))
 
 
 def block_sizes(keyed: DataFrame) -> DataFrame:
@@ -77,7 +82,7 @@ def block_sizes(keyed: DataFrame) -> DataFrame:
 
 def oversized_blocks(df: DataFrame, p: Profile) -> DataFrame:
     """Blocks above the limit: they yield no pairs, so they are reported."""
-    return block_sizes(with_keys(df, p)).where(F.col("size") > _limit(p)).select(
+    return block_sizes(with_keys(df, p)).where(_over(p)).select(
         F.col("_how").alias("blocking"), F.col("_block").alias("block"), "size"
     )
 
@@ -86,7 +91,9 @@ def pairable_rows(keyed: DataFrame, p: Profile) -> DataFrame:
     """Rows in blocks within the limit. Sizes are counted over all rows
     first; only then rows that can never be candidates (no title) go."""
     rows = block_rows(keyed.where(F.col("_title") != ""))
-    too_big = block_sizes(keyed).where(F.col("size") > _limit(p)).select("_how", "_block")
+    if p.title_block_limit is None and p.phone_block_limit is None:
+        return rows
+    too_big = block_sizes(keyed).where(_over(p)).select("_how", "_block")
     return rows.join(too_big, ["_how", "_block"], "left_anti")
 
 
@@ -99,7 +106,7 @@ def oversized_copies(df: DataFrame, p: Profile) -> DataFrame:
     """
     keyed = with_keys(df, p)
     too_big = block_sizes(keyed).where(
-        (F.col("_how") == "title") & (F.col("size") > p.title_block_limit)
+        (F.col("_how") == "title") & _over(p)
     ).select(F.col("_block").alias("_title_block"))
     groups = (
         keyed.where(F.col("_title") != "")
@@ -136,7 +143,9 @@ def block_pairs(df: DataFrame, p: Profile) -> DataFrame:
 def pairable_rows_all(keyed: DataFrame, p: Profile) -> DataFrame:
     """Like :func:`pairable_rows`, rows without a title included."""
     rows = block_rows(keyed.select(p.row_id, "_title_block", "_phone_block"))
-    too_big = block_sizes(keyed).where(F.col("size") > _limit(p)).select("_how", "_block")
+    if p.title_block_limit is None and p.phone_block_limit is None:
+        return rows
+    too_big = block_sizes(keyed).where(_over(p)).select("_how", "_block")
     return rows.join(too_big, ["_how", "_block"], "left_anti")
 
 
@@ -165,6 +174,49 @@ def scored_pairs(df: DataFrame, p: Profile) -> DataFrame:
     return accepted.dropDuplicates([f"l_{p.row_id}", f"r_{p.row_id}"])
 
 
+def review_groups(df: DataFrame, p: Profile) -> DataFrame:
+    """D5-D8 without any limit: accepted pairs of *different* entries, and the
+    groups of equal ones.
+
+    Rows with equal unit, title, address and phone keys are one entry, counted
+    on the map side, so 500 copies are one row and never 124,750 pairs. The
+    match rule then gives the candidates as equi-joins inside a unit: a common
+    phone, a common address, or a common word of the title, which every pair
+    above the title threshold has but those that differ in each single word -
+    these meet by the title's first letters. A row is (first_row_id_1,
+    first_row_id_2, copies_1, copies_2, title_score, address_score,
+    same_phone); for a group of equal entries both ids are its first row.
+    """
+    keyed = with_keys(df, p).where(F.col("_title") != "")
+    entries = keyed.groupBy("_unit", "_title", "_address", "_phone").agg(
+        F.min(p.row_id).alias("first"), F.count(F.lit(1)).alias("copies"))
+    entries = written(entries.withColumns({"t": tokens(F.col("_title")), "a": tokens(F.col("_address"))}), "entries")
+    letters = F.substring("_title", 1, PUBLISHED_REVIEW["block_prefix"])
+    keys = F.array_compact(F.concat(
+        F.array(F.when(F.col("_phone") != "", F.concat(F.lit("p"), "_phone")),
+                F.when(F.col("_address") != "", F.concat(F.lit("a"), "_address")), F.concat(F.lit("l"), letters)),
+        F.transform("t", lambda w: F.concat(F.lit("t"), w))))
+    cells = entries.select("_unit", "first", F.explode(keys).alias("_key"))
+    pairs = cells.select("_unit", "_key", F.col("first").alias("i")).join(
+        cells.select("_unit", "_key", F.col("first").alias("j")), ["_unit", "_key"]).where("i < j").select("i", "j").distinct()
+
+    def side(n: int) -> DataFrame:
+        return entries.select(F.col("first").alias("ij"[n - 1]), *[F.col(c).alias(f"{c}_{n}") for c in ("copies", "t", "a", "_phone", "_address")])
+
+    both = with_token_set_score(pairs.join(side(1), "i").join(side(2), "j"), "t_1", "t_2", "title_score", at_least=p.title_at_least)
+    both = with_token_set_score(both, "a_1", "a_2", "address_score")
+    same_phone = (F.col("_phone_1") != "") & (F.col("_phone_1") == F.col("_phone_2"))
+    same_address = (F.col("_address_1") != "") & (F.col("_address_1") == F.col("_address_2"))
+    accepted = both.withColumn("same_phone", same_phone).where(
+        (F.col("address_score") >= p.address_at_least) | F.col("same_phone") | same_address)
+    names = ("first_row_id_1", "first_row_id_2", "copies_1", "copies_2", "title_score", "address_score", "same_phone")
+    known = F.col("_phone") != ""
+    same = entries.where((F.col("copies") > 1) & (known | (F.col("_address") != ""))).select(
+        "first", F.col("first").alias("j"), "copies", F.col("copies").alias("c"), F.lit(100.0).alias("s"),
+        F.when(F.size("a") > 0, 100.0).otherwise(0.0).alias("z"), known.alias("k")).toDF(*names)
+    return accepted.select("i", "j", "copies_1", "copies_2", "title_score", "address_score", "same_phone").toDF(*names).unionByName(same)
+
+
 def near_duplicates(df: DataFrame, p: Profile) -> DataFrame:
     """The review table, one row per accepted pair. Order it by
     (row_id_1, row_id_2) where it is shown or written."""
@@ -177,18 +229,13 @@ def near_duplicates(df: DataFrame, p: Profile) -> DataFrame:
         F.array_compact(F.array(*changed)), lab.no_difference
     ))
 
-    def said(name: str, score: str, exact: str) -> Column:
-        return F.when(F.col(score) == 100, F.lit(f"{name} {exact}")).otherwise(
-            F.concat(F.lit(f"{name} "), text.two_decimals(F.col(score)))
-        )
+    def said(name: str, score: str) -> Column:
+        return F.concat(F.lit(f"{name}="), text.two_decimals(F.col(score)))
 
     evidence = F.concat(
-        F.lit("Pair "), F.coalesce(F.col(f"l_{p.code}"), F.lit("<NA>")),
-        F.lit(" / "), F.coalesce(F.col(f"r_{p.code}"), F.lit("<NA>")), F.lit(": "),
-        said("title", "title_score", "exact"), F.lit("; "),
-        said("address", "address_score", "exact"), F.lit("; "),
-        F.when(F.col("same_phone"), F.lit("same phone")).otherwise(F.lit("phone differs or is missing")),
-        F.lit("; differing fields: "), F.col("differing_fields"), F.lit(". " + lab.closing),
+        said("title", "title_score"), F.lit("; "), said("address", "address_score"),
+        F.lit("; phone="), F.when(F.col("same_phone"), F.lit("equal")).otherwise(F.lit("not equal")),
+        F.lit("; differs="), F.col("differing_fields"),
     )
     top = (F.col("title_score") == 100) & (F.col("address_score") == 100) & F.col("same_phone")
     shown = {"code": p.code, "title": p.title, "address": p.address, "phone": p.phone}

@@ -137,15 +137,13 @@ def compare(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def affected(audit: DataFrame, wanted: dict[str, tuple[str, str]]) -> DataFrame:
-    """M7: sum of affected rows per (variable, text contained in the problem);
-    case-insensitive and literal, non-numeric counts as zero."""
+    """M7: sum of affected rows per (variable, step code); non-numeric counts
+    as zero."""
     number = F.coalesce(F.col("affected").cast("string").try_cast("double"), F.lit(0.0))
     wide = audit.agg(*[
-        F.coalesce(F.sum(F.when(
-            (F.col("variable") == variable)
-            & F.contains(F.lower("problem"), F.lit(words.lower())), number)), F.lit(0.0))
+        F.coalesce(F.sum(F.when((F.col("variable") == variable) & (F.col("step") == step), number)), F.lit(0.0))
         .cast("bigint").alias(label)
-        for label, (variable, words) in wanted.items()
+        for label, (variable, step) in wanted.items()
     ])
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(k).alias("correction"), F.col(k).alias("affected")) for k in wanted
@@ -172,18 +170,18 @@ def punctuation_to_null(raw: DataFrame, columns: list[str], p: Profile) -> DataF
 
 def corrections(raw: DataFrame, audit: DataFrame, p: Profile) -> DataFrame:
     """M9: the labelled corrections, from the audit log and the raw table."""
-    wanted = {"removed_rows": ("TODAS", "separator rows")}
+    wanted = {"removed_rows": ("TODAS", "drop_empty")}
     for c in p.identifiers:
-        wanted[f"{c}_to_null"] = (c, "inconsistent format")
-    wanted["phones_reformatted"] = (p.phone, "inconsistent format")
+        wanted[f"{c}_to_null"] = (c, "identifier")
+    wanted["phones_reformatted"] = (p.phone, "identifier")
     if p.dashed:
-        wanted["dashes_removed"] = (p.dashed, "decorative punctuation")
-    wanted["parents_normalised"] = (p.parent, "not official")
-    wanted["children_normalised"] = (p.child, "capital zones")
+        wanted["dashes_removed"] = (p.dashed, "dashes")
+    wanted["parents_normalised"] = (p.parent, "parent")
+    wanted["children_normalised"] = (p.child, "child")
     if p.zone:
-        wanted["zones_kept"] = (p.zone.column, "zone of the capital")
+        wanted["zones_kept"] = (p.zone.column, "zone")
     for c in p.reported_categories:
-        wanted[f"{c}_normalised"] = (c, "accents")
+        wanted[f"{c}_normalised"] = (c, "category")
     punctuated = [c for c in p.free_text if c != p.title]
     return affected(audit, wanted).unionByName(punctuation_to_null(raw, punctuated, p))
 

@@ -23,58 +23,19 @@ from pulcra.session import written
 
 ALL_COLUMNS = "TODAS"
 
-# One entry per kind of step: (problem, transformation, justification).
+# What each step counts, what it does to the cell, and the rules it applies
+# (operator ids). The step code is the key of a line; these texts describe it.
 STEPS = {
-    "standardise": (
-        "Blank cells, missing-value markers or uneven text",
-        "Markers to NULL; Unicode, spaces and case made uniform",
-        "Tells real absence from text and leaves one spelling.",
-    ),
-    "drop_empty": (
-        "Separator rows: completely empty rows",
-        "Remove rows that are NULL in every column",
-        "They describe nothing and show up as exact duplicates.",
-    ),
-    "identifier": (
-        "Inconsistent format or incomplete value",
-        "Keep complete values of a legal shape, everything else to NULL",
-        "Identifiers and phones stay text so that leading zeros survive.",
-    ),
-    "zone": (
-        "The child column holds a zone of the capital",
-        "Derive the zone before the places are repaired",
-        "Keeps useful detail without treating a zone as a place.",
-    ),
-    "parent": (
-        "Parent values that are not official",
-        "Replace by the official parent",
-        "Aligns the column with the catalogue.",
-    ),
-    "child": (
-        "Capital zones, extended or historical names and typing errors",
-        "Assign the capital's child and apply the documented equivalents",
-        "Allows the pair check without losing the derived zone.",
-    ),
-    "dashes": (
-        "Decorative punctuation before a name",
-        "Remove runs of hyphens in front of a word",
-        "Corrects needless punctuation, inner hyphens stay.",
-    ),
-    "category": (
-        "Accents or uneven spelling of categories",
-        "Upper case without accents; distinct meanings stay distinct",
-        "Avoids categories that differ only in spelling.",
-    ),
-    "catalogue": (
-        "Values left outside the catalogue after the equivalents",
-        "Only values without an official counterpart to NULL",
-        "No place is invented; cases without a counterpart are visibly missing.",
-    ),
-    "review": (
-        "Possible partial duplicates by title, address or phone",
-        "Review every pair and apply explicit decisions only",
-        "No record is removed for similarity alone.",
-    ),
+    "standardise": ("cell is not in canonical form", "canonical text, or NULL where only a marker or signs are left", "T1, T2, T3"),
+    "drop_empty": ("every column is NULL", "row is left out", "C2"),
+    "identifier": ("no accepted shape matches the cell as it is", "matching part kept, else NULL", "T5, T6, T7, T8"),
+    "zone": ("child has the zone shape under the capital", "copied to the zone column", "T18"),
+    "parent": ("parent differs from its mapped value", "mapped value", "T9"),
+    "child": ("child differs from its mapped value", "mapped value, or the capital's child", "T9, T13"),
+    "dashes": ("two or more hyphens, then a letter or digit", "hyphens cut off", "T4"),
+    "category": ("cell is not upper-case ASCII", "transliterated", "T16"),
+    "catalogue": ("pair is not in the catalogue", "child becomes NULL", "P8"),
+    "review": ("pair accepted by the detector", "listed with a decision, table unchanged", "D8, D13"),
 }
 
 
@@ -185,7 +146,7 @@ def cleaned_rows(wide: DataFrame, p: Profile) -> DataFrame:
 
 
 def audit_log(wide: DataFrame, log: list[Logged], review: DataFrame | None) -> DataFrame:
-    """(step_no, variable, problem, transformation, affected,
+    """(step_no, variable, step, problem, transformation, affected,
     justification). One aggregate for all row-level steps."""
     counts = wide.agg(*[
         F.count_if(F.col("real") & x.count if x.only_real else x.count).alias(f"n{i}")
@@ -193,11 +154,11 @@ def audit_log(wide: DataFrame, log: list[Logged], review: DataFrame | None) -> D
     ])
 
     def line(i: int, variable: str, step: str, affected: Column, always: bool) -> Column:
-        problem, action, why = STEPS[step]
+        condition, effect, applied = STEPS[step]
         return F.struct(
-            F.lit(i + 1).alias("step_no"), F.lit(variable).alias("variable"),
-            F.lit(problem).alias("problem"), F.lit(action).alias("transformation"),
-            affected.cast("bigint").alias("affected"), F.lit(why).alias("justification"),
+            F.lit(i + 1).alias("step_no"), F.lit(variable).alias("variable"), F.lit(step).alias("step"),
+            F.lit(condition).alias("problem"), F.lit(effect).alias("transformation"),
+            affected.cast("bigint").alias("affected"), F.lit(applied).alias("justification"),
             F.lit(always).alias("always"),
         )
 

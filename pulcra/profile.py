@@ -31,7 +31,10 @@ class ReviewLabels:
     very_high: str = "MUY ALTA"
     high: str = "ALTA"
     no_difference: str = "NINGUNO"
-    closing: str = "Both codes are official identifiers; both records are kept."
+
+
+# The blocking of the registry's published review.
+PUBLISHED_REVIEW = {"block_prefix": 18, "title_block_limit": 80, "phone_block_limit": 40}
 
 
 @dataclass(frozen=True)
@@ -73,9 +76,10 @@ class Profile:
     compared: tuple[str, ...] = ()           # columns listed when they differ
     title_at_least: float = 94.0
     address_at_least: float = 85.0
-    block_prefix: int = 18
-    title_block_limit: int = 80
-    phone_block_limit: int = 40
+    # None: whole titles, and blocks of any size. Numbers restrict the review.
+    block_prefix: int | None = None
+    title_block_limit: int | None = None
+    phone_block_limit: int | None = None
     markers: tuple[str, ...] = MISSING_MARKERS
     labels: ReviewLabels = ReviewLabels()
     check_names: Mapping[str, str] = field(default_factory=dict)

@@ -37,17 +37,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-SPREAD_PARTITIONS = 32
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a scan of too few partitions (one small file) to all cores, hashed
-    by a unique key. A scan that already has enough partitions - any large
-    table - is returned as it is, without a shuffle."""
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_PARTITIONS)
-    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
-
-
 def is_small(df: DataFrame) -> bool:
     """Measure a lookup side: one short job that stops at the row bound."""
     width = sum((F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))

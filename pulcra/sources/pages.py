@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def attribute(html: Column, element: str, name: str) -> Column:
     """The first value of an attribute of an element, '' when absent."""
-    return F.coalesce(F.regexp_extract(html, rf'<{element}\b[^>]*\b{name}="([^"]*)"', 1), F.lit(""))
+    return F.coalesce(F.regexp_extract(html, rf'<{re.escape(element)}\b[^>]*\b{re.escape(name)}="([^"]*)"', 1), F.lit(""))
 
 
 def field_by_id(html: Column, element_id: str) -> Column:
     """The value of the form field with this id, '' when absent."""
+    # Fixed pattern: the id and the value are neighbours in the served form.
     return F.coalesce(
-        F.regexp_extract(html, rf'id="{element_id}" value="([^"]*)"', 1), F.lit(""))
+        F.regexp_extract(html, rf'id="{re.escape(element_id)}" value="([^"]*)"', 1), F.lit(""))
 
 
 def rows_of(

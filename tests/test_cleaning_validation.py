@@ -37,15 +37,15 @@ def test_cleaned_values(cleaned):
 
 
 def test_audit_log(cleaned):
-    log = {(r.variable, r.problem.split(" ")[0]): r.affected for r in cleaned.audit.collect()}
-    assert log["TODAS", "Separator"] == 2
-    assert log["CODIGO", "Blank"] == 2 and log["ESTABLECIMIENTO", "Blank"] == 3
-    assert log["CODIGO", "Inconsistent"] == 0 and log["DISTRITO", "Inconsistent"] == 1
-    assert log["TELEFONO", "Inconsistent"] == 1
-    assert log["ZONA_CAPITAL", "The"] == 1 and log["DEPARTAMENTO", "Parent"] == 2
-    assert log["MUNICIPIO", "Capital"] == 2 and log["MUNICIPIO", "Values"] == 1
-    assert log["DIRECTOR", "Decorative"] == 1 and log["DEPARTAMENTAL", "Accents"] == 2
-    assert ("NIVEL", "Accents") not in log and log["TODAS", "Possible"] == 0
+    log = {(r.variable, r.step): r.affected for r in cleaned.audit.collect()}
+    assert log["TODAS", "drop_empty"] == 2
+    assert log["CODIGO", "standardise"] == 2 and log["ESTABLECIMIENTO", "standardise"] == 3
+    assert log["CODIGO", "identifier"] == 0 and log["DISTRITO", "identifier"] == 1
+    assert log["TELEFONO", "identifier"] == 1
+    assert log["ZONA_CAPITAL", "zone"] == 1 and log["DEPARTAMENTO", "parent"] == 2
+    assert log["MUNICIPIO", "child"] == 2 and log["MUNICIPIO", "catalogue"] == 1
+    assert log["DIRECTOR", "dashes"] == 1 and log["DEPARTAMENTAL", "category"] == 2
+    assert ("NIVEL", "category") not in log and log["TODAS", "review"] == 0
 
 
 def test_cleaning_is_idempotent(spark, places, cleaned):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pulcra.functions.similarity import tokens, with_token_set_score
 from pulcra.operators import dedup as D
+from pulcra.profile import PUBLISHED_REVIEW
 from pulcra.profiles.schools import SCHOOLS
 from tests.rows import clean_table
 
@@ -78,12 +79,18 @@ def test_block_limit_counts_rows_before_pruning(spark):
     for size in (1, 2, 80, 81):
         rows += [{"ESTABLECIMIENTO": f"{size:03d} NAME", "TELEFONO": None, "MUNICIPIO": str(size)}] * size
     df = clean_table(spark, rows)
-    pairs = D.block_pairs(df, SCHOOLS).join(df, F.col("row_id_1") == df.row_id)
-    got = {r.MUNICIPIO: r["count"] for r in pairs.groupBy("MUNICIPIO").count().collect()}
-    assert got == {"2": 1, "80": 3160}
-    big = D.oversized_blocks(df, SCHOOLS).collect()
+    published = replace(SCHOOLS, **PUBLISHED_REVIEW)
+
+    def per_place(profile):
+        pairs = D.block_pairs(df, profile).join(df, F.col("row_id_1") == df.row_id)
+        return {r.MUNICIPIO: r["count"] for r in pairs.groupBy("MUNICIPIO").count().collect()}
+
+    assert per_place(published) == {"2": 1, "80": 3160}
+    assert per_place(SCHOOLS) == {"2": 1, "80": 3160, "81": 3240}
+    assert D.oversized_blocks(df, SCHOOLS).count() == 0
+    big = D.oversized_blocks(df, published).collect()
     assert [(r.blocking, r["size"]) for r in big] == [("title", 81)]
-    copies = D.oversized_copies(df, SCHOOLS).collect()
+    copies = D.oversized_copies(df, published).collect()
     assert [(r.copies, r.title_key) for r in copies] == [(81, "081 NAME")]
 
 
@@ -111,13 +118,26 @@ def test_review_against_brute_force(spark):
             da, db = key(a["DIRECCION"]), key(b["DIRECCION"])
             if plain_score(na, nb) >= 94 and (plain_score(da, db) >= 85 or phone or (da and da == db)):
                 expected.add((i, j))
-    limits = replace(SCHOOLS, title_block_limit=1000, phone_block_limit=1000)
+    limits = replace(SCHOOLS, block_prefix=18)
     review = D.near_duplicates(df, limits)
     got = [(r.row_id_1, r.row_id_2) for r in review.collect()]
     assert len(got) == len(set(got)) and set(got) == expected and expected
     assert tuple(review.columns) == D.REVIEW_COLUMNS
 
 
+def test_complete_review_of_large_groups(spark):
+    """A block above both published limits, 500 copies, and titles that differ
+    in their first letters."""
+    rows = [{"ESTABLECIMIENTO": f"LICEO SAN JOSE {k}", "TELEFONO": "55551234", "DIRECCION": f"CALLE {k}"} for k in range(90)]
+    rows += [{"ESTABLECIMIENTO": "COLEGIO CENTRAL", "DIRECCION": "3A CALLE 4-55", "TELEFONO": None}] * 500
+    rows += [{"ESTABLECIMIENTO": "CENTRAL COLEGIO", "DIRECCION": "3A CALLE 4-56", "TELEFONO": None}]
+    found = D.review_groups(clean_table(spark, rows), SCHOOLS).collect()
+    got = {(r.first_row_id_1, r.first_row_id_2): (r.copies_1, r.copies_2) for r in found}
+    near = {(i, j) for i in range(90) for j in range(i + 1, 90)
+            if plain_score(f"LICEO SAN JOSE {i}", f"LICEO SAN JOSE {j}") >= 94}
+    assert got == {**dict.fromkeys(near, (1, 1)), (90, 90): (500, 500), (90, 590): (500, 1)} and len(near) > 1000
+
+
 def test_decisions(spark):
     df = clean_table(spark, [{}] * 4)
     ledger = spark.createDataFrame(
