@@ -17,7 +17,7 @@ show the pair, since one document is no evidence. Added spans have the kind
 Everything is DataFrame functions. Positions come from marking matches and
 splitting: odd pieces are matches, and lengths add up to code point offsets.
 Spans and their surroundings are stored once; corpus counts are partial sums
-before they are shuffled; df(t) is only kept for terms with enough support.
+before they are shuffled and joined; df(t) is kept for terms with enough support.
 
 Defined cases: null text is empty; rows that repeat id and text share their
 added spans; a null id is one more id; other columns are left alone; an empty
@@ -30,7 +30,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulcra.llm._base import query, stored, table
-from pulcra.session import broadcast_if_small
 
 REACH, SUPPORT, GENERALISE, REMOVE = 80, 3, 0.6, 0.9
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -124,7 +123,8 @@ def disclosures(docs: DataFrame, found: DataFrame, near: DataFrame, text_col: st
     both = stored(both, "pairs")
     words = docs.select(F.explode(F.array_distinct(F.transform(
         F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0), lambda w: F.lower(w)))).alias("term"))
-    terms = words.join(broadcast_if_small(both.select("term").distinct()), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    # Counted first: the join then sees one row per word of the corpus, not per use.
+    terms = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     entities = found.filter("_row is not null").select(F.explode(F.array_distinct(F.transform(
         "_spans", lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"))))).alias("e")).groupBy("e.kind", "e.value").agg(
         F.count(F.lit(1)).alias("n_entity"))
