@@ -201,12 +201,33 @@ def violations_cleaned(spark, sf_dir):
         "check", "row_id", "code", "variable", "value", "rule_no")
 
 
-@query("violation_examples", f"WITH {REGISTRY}, {CATALOGUE}, {s_violations('registry', COLS)} "
-       "SELECT check_name AS \"check\", row_id, variable, value, rank FROM (SELECT *, row_number() OVER "
-       "(PARTITION BY check_name ORDER BY rule_group, row_id, rule_no) AS rank FROM violations) WHERE rank <= 5")
+_VARIANT_POSITIONS = ", ".join(
+    f"('{c}', {i})" for i, c in enumerate(c for c in DEMO.variant_columns if c in COLS))
+
+
+def _s_examples(src: str, columns: list[str]) -> str:
+    return f"""{s_violations(src, columns)}, {s_variants(src, columns)},
+found AS (SELECT check_name, rule_group, rule_no, row_id, code, variable, value, '' AS part FROM violations
+  UNION ALL SELECT 'exact_duplicates', 0, 0, row_id, code, 'row', CAST(n AS VARCHAR), '' FROM
+    (SELECT *, count(*) OVER (PARTITION BY {', '.join(columns)}) AS n FROM {src}) WHERE n > 1
+  UNION ALL SELECT 'category_variants', p.place, 0, NULL, NULL, variable, spelling, key
+    FROM spell JOIN variants USING (variable, key) JOIN (VALUES {_VARIANT_POSITIONS}) p(variable, place) USING (variable)
+  UNION ALL SELECT 'schema_and_types', 0, 0, NULL, NULL, 'schema', 'columns and order; absent: zone; extra: ', '')
+SELECT check_name AS "check", row_id, code, variable, value, rank FROM (SELECT *, row_number() OVER
+  (PARTITION BY check_name ORDER BY rule_group, row_id NULLS FIRST, rule_no, part, value) AS rank FROM found) WHERE rank <= 5"""
+
+
+@query("violation_examples", f"WITH {REGISTRY}, {CATALOGUE}, {_s_examples('registry', COLS)}")
 def violation_examples(spark, sf_dir):
+    """All seven checks."""
     return V.examples(registry(spark, sf_dir), DEMO, catalogue(spark, sf_dir)).select(
-        "check", "row_id", "variable", "value", "rank")
+        "check", "row_id", "code", "variable", "value", "rank")
+
+
+@query("category_spellings", f"WITH {REGISTRY}, {s_variants('registry', COLS)} SELECT variable, key, spelling FROM spell")
+def category_spellings(spark, sf_dir):
+    """V6: every spelling, as rows."""
+    return V.category_spellings(registry(spark, sf_dir), DEMO).drop("position")
 
 
 @query("duplicate_examples", f"""WITH {REGISTRY}
@@ -221,13 +242,15 @@ def _s_summary(src: str, columns: list[str], schema_errors: int) -> str:
               "category_variants", "invalid_values")
     values = ", ".join(f"({i + 1}, '{c}')" for i, c in enumerate(checks))
     return f"""{s_violations(src, columns)}, {s_variants(src, columns)}, checks(position, name) AS (VALUES {values}),
-found AS (SELECT check_name AS name, count(*) AS n FROM violations GROUP BY ALL
-  UNION ALL SELECT 'category_variants', count(*) FROM variants
-  UNION ALL SELECT 'schema_and_types', {schema_errors}
-  UNION ALL SELECT 'exact_duplicates', CAST(sum(n - 1) AS BIGINT) FROM
-    (SELECT count(*) AS n FROM {src} GROUP BY {', '.join(columns)}))
+found AS (SELECT check_name AS name, variable, count(*) AS n FROM violations GROUP BY ALL
+  UNION ALL SELECT 'category_variants', variable, count(*) FROM variants GROUP BY ALL
+  UNION ALL SELECT 'schema_and_types', 'schema', {schema_errors}
+  UNION ALL SELECT 'exact_duplicates', 'row', CAST(sum(n - 1) AS BIGINT) FROM
+    (SELECT count(*) AS n FROM {src} GROUP BY {', '.join(columns)})),
+told AS (SELECT name, CAST(sum(n) AS BIGINT) AS n, string_agg(variable || '=' || n, '; ' ORDER BY variable || '=' || n) AS detail
+  FROM found WHERE n > 0 GROUP BY name)
 SELECT position, name AS "check", CASE WHEN coalesce(n, 0) = 0 THEN 'APROBADO' ELSE 'FALLIDO' END AS state,
-  coalesce(n, 0) AS errors FROM checks LEFT JOIN found USING (name)"""
+  coalesce(n, 0) AS errors, detail FROM checks LEFT JOIN told USING (name)"""
 
 
 @query("validation_summary", f"WITH {REGISTRY}, {CATALOGUE}, {_s_summary('registry', COLS, 1)}")

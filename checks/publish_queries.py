@@ -20,38 +20,54 @@ COLS = list(COLUMNS)
 FILE_ROW = ", ".join(COLS)
 
 
-def stored_csv(spark, sf_dir, rows, files: int = 3) -> str:
+def stored_csv(spark, rows) -> str:
     path = scratch_path(spark, "csv")
-    csv.write_csv(rows, path, files=files)
+    csv.write_csv(rows, path)
     return path
 
 
+# No field of the registry holds a line break, so its files can be split.
+PLAIN = {"columns": COLS, "multiline": False}
+
+
 @query("csv_roundtrip", f"WITH {REGISTRY} SELECT {FILE_ROW} FROM registry")
 def csv_roundtrip(spark, sf_dir):
     """Written and read back, blanks stay ''."""
-    path = stored_csv(spark, sf_dir, registry(spark, sf_dir).select(*COLS))
-    return csv.read_raw(spark, path, COLS)
+    return csv.read_raw(spark, stored_csv(spark, registry(spark, sf_dir).select(*COLS)), **PLAIN)
 
 
-@query("csv_documents", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents")
+@query("csv_documents", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents")
 def csv_documents(spark, sf_dir):
     """S1, S8 on whole multi-line texts."""
     docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source")
-    return csv.read_raw(spark, stored_csv(spark, sf_dir, docs), ["doc_id", "text", "lang", "source"])
+        F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source",
+        F.col("n_chars").cast("string").alias("n_chars"))
+    return csv.read_raw(spark, stored_csv(spark, docs), docs.columns)
+
+
+# Segments with planted not-available tokens, and one (' N/A ') that is none.
+TOKENS = ("CASE row_id % 9 WHEN 0 THEN 'N/A' WHEN 1 THEN 'NULL' WHEN 2 THEN 'nan' WHEN 3 THEN '-1.#IND' "
+          "WHEN 4 THEN 'n/a' WHEN 5 THEN ' N/A ' WHEN 6 THEN '' ELSE segment END")
+PLANTED = f"WITH {REGISTRY}, planted AS (SELECT * REPLACE ({TOKENS} AS segment) FROM registry)"
 
 
-@query("csv_for_validation", f"WITH {REGISTRY} SELECT {', '.join(f'nullif({c}, {chr(39)*2}) AS {c}' for c in COLS)} FROM registry")
+def planted_csv(spark, sf_dir) -> str:
+    rows = registry(spark, sf_dir).withColumn("segment", F.expr(TOKENS))
+    return stored_csv(spark, rows.select(*COLS))
+
+
+@query("csv_for_validation", f"{PLANTED} SELECT {', '.join(f'nullif({c}, {chr(39)*2}) AS {c}' for c in COLS)} FROM planted")
 def csv_for_validation(spark, sf_dir):
     """Only the empty field is missing, markers stay."""
-    path = stored_csv(spark, sf_dir, registry(spark, sf_dir).select(*COLS))
-    return csv.read_for_validation(spark, path, columns=COLS)
+    return csv.read_for_validation(spark, planted_csv(spark, sf_dir), **PLAIN)
 
 
-@query("csv_default_na", f"WITH {REGISTRY} SELECT {', '.join(f'CASE WHEN {c} = {chr(39)*2} THEN NULL ELSE {c} END AS {c}' for c in COLS)} FROM registry")
+@query("csv_default_na", f"{PLANTED} SELECT " + ", ".join(
+    f"CASE WHEN {c} IN ('', 'N/A', 'NULL', 'nan', '-1.#IND', 'n/a') THEN NULL ELSE {c} END AS {c}" for c in COLS)
+    + " FROM planted")
 def csv_default_na(spark, sf_dir):
     """S3: the usual tokens are missing (' N/A ' keeps its spaces and stays)."""
-    return csv.read_default_na(spark, stored_csv(spark, sf_dir, registry(spark, sf_dir).select(*COLS)), columns=COLS)
+    return csv.read_default_na(spark, planted_csv(spark, sf_dir), **PLAIN)
 
 
 @query("csv_union", f"WITH {REGISTRY} SELECT {FILE_ROW} FROM registry WHERE NOT ({' AND '.join(f'{c} = {chr(39)*2}' for c in COLS)})")
@@ -59,8 +75,7 @@ def csv_union(spark, sf_dir):
     """Two files of one layout, wholly blank rows dropped."""
     rows = registry(spark, sf_dir)
     halves = [rows.where(F.col("row_id") % 2 == i).select(*COLS) for i in (0, 1)]
-    paths = [stored_csv(spark, sf_dir, h, files=2) for h in halves]
-    return csv.union_files(spark, paths, columns=COLS, drop_blank=True)
+    return csv.union_files(spark, [stored_csv(spark, h) for h in halves], drop_blank=True, **PLAIN)
 
 
 @query("union_all_sources", f"WITH {REGISTRY} SELECT row_id, code, 'registry' AS source FROM registry "
@@ -89,11 +104,24 @@ def blocks(spark, sf_dir):
         "row_id", "code", "block_no", "is_separator")
 
 
+def s_print(src: str, columns: list[str]) -> str:
+    text = ", ".join(f"coalesce(concat(length(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)), '~')" for c in columns)
+    return (f"SELECT count(*) AS rows, coalesce(bit_xor(d), 0) AS \"xor\", CAST(coalesce(sum(d), 0) AS VARCHAR) AS total "
+            f"FROM (SELECT CAST('0x' || substr(sha256(concat({text})), 1, 15) AS BIGINT) AS d FROM {src})")
+
+
+@query("block_reunion", f"WITH {REGISTRY} {s_print('registry', COLS)}")
+def block_reunion(spark, sf_dir):
+    """The blocks, put together again, are the table."""
+    blank = ~P.is_nonblank(F.concat(*[F.col(c) for c in COLS]))
+    return X.fingerprint(separator_blocks(registry(spark, sf_dir), "row_id", blank), COLS)
+
+
 @query("source_manifest", f"WITH {REGISTRY} SELECT parent AS query_key, 'ALL' AS level, count(*) AS rows, "
        "'2026-01-31' AS extracted, TRUE AS digests_present FROM registry WHERE parent <> '' GROUP BY parent")
 def source_manifest(spark, sf_dir):
-    path = stored_csv(spark, sf_dir, registry(spark, sf_dir).select(*COLS))
-    rows = csv.read_raw(spark, path, COLS, file="file")
+    path = stored_csv(spark, registry(spark, sf_dir).select(*COLS))
+    rows = csv.read_raw(spark, path, file="file", **PLAIN)
     digests = manifest.file_digests(spark, f"{path}/*.csv")
     listed = manifest.source_manifest(rows, "parent", "file", digests, level="ALL", extracted="2026-01-31")
     return listed.groupBy("query_key", "level", "extracted").agg(
@@ -106,20 +134,14 @@ def file_digests(spark, sf_dir):
     return manifest.file_digests(spark, f"{sf_dir}/*.parquet")
 
 
-def s_print(src: str, columns: list[str]) -> str:
-    text = ", ".join(f"coalesce(concat(length(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)), '~')" for c in columns)
-    return (f"SELECT count(*) AS rows, coalesce(bit_xor(d), 0) AS \"xor\", CAST(coalesce(sum(d), 0) AS VARCHAR) AS total "
-            f"FROM (SELECT CAST('0x' || substr(sha256(concat({text})), 1, 15) AS BIGINT) AS d FROM {src})")
-
-
 @query("table_fingerprint", f"""WITH {REGISTRY} SELECT 'registry' AS source, * FROM ({s_print('registry', COLS)})
 UNION ALL SELECT 'documents', * FROM ({s_print('documents', ['doc_id', 'text', 'lang', 'source', 'n_chars'])})
 UNION ALL SELECT 'conversations', * FROM ({s_print('conversations', ['conv_id', 'turn', 'role', 'text'])})""")
 def table_fingerprint(spark, sf_dir):
-    """The same for any layout; one side here is repartitioned."""
+    """The same for any layout of the rows."""
     parts = {"registry": X.fingerprint(registry(spark, sf_dir), COLS)}
     for name in ("documents", "conversations"):
-        parts[name] = X.fingerprint(table(spark, sf_dir, name).repartition(5))
+        parts[name] = X.fingerprint(table(spark, sf_dir, name))
     named = [df.select(F.lit(n).alias("source"), "rows", "xor", "total") for n, df in parts.items()]
     return named[0].unionByName(named[1]).unionByName(named[2])
 
@@ -159,7 +181,7 @@ def publish_sorted(spark, sf_dir):
     placed = back.select("*", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
     sizes = placed.groupBy("f").agg(F.count(F.lit(1)).alias("n"))
     starts = sizes.select("f", F.coalesce(F.sum("n").over(
-        Window.orderBy("f").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
+        Window.orderBy(X.file_number("f"), "f").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
     return placed.join(starts, "f").select(*OUT, (F.col("start") + F.col("i") + 1).alias("rank"))
 
 
@@ -211,7 +233,7 @@ FROM registry LEFT JOIN ledger s ON s.key = code AND s.variable = 'status' AND s
 LEFT JOIN ledger g ON g.key = code AND g.variable = 'segment' AND g.before = segment""")
 def corrections_overlay(spark, sf_dir):
     rows = registry(spark, sf_dir)
-    fixed, _ = X.apply_corrections(rows, ledger(rows), DEMO)
+    fixed = X.apply_corrections(rows, ledger(rows), DEMO)[0]
     return fixed.select("row_id", "code", "status", "segment")
 
 
@@ -223,6 +245,29 @@ def corrections_stale(spark, sf_dir):
     return X.apply_corrections(rows, ledger(rows), DEMO)[1]
 
 
+TORN = f"""{LEDGER}, torn AS (SELECT * FROM ledger UNION ALL
+  SELECT key, variable, before, 'PENDING' FROM ledger WHERE key LIKE '%7')"""
+
+
+@query("corrections_conflicts", f"""WITH {REGISTRY}, {TORN}
+SELECT key, variable, before, after, 'conflict' AS kind FROM torn
+  WHERE (key, variable, before) IN (SELECT (key, variable, before) FROM torn GROUP BY key, variable, before HAVING count(DISTINCT after) > 1)
+UNION ALL SELECT code, 'status', status, s.after, 'applied' FROM registry
+  JOIN ledger s ON s.key = code AND s.variable = 'status' AND s.before = status WHERE NOT s.key LIKE '%7'""")
+def corrections_conflicts(spark, sf_dir):
+    """Entries that contradict each other are listed and change nothing."""
+    rows = registry(spark, sf_dir)
+    entries = ledger(rows)
+    torn = entries.unionByName(entries.where("key LIKE '%7'").withColumn("after", F.lit("PENDING")))
+    fixed, _, conflicts = X.apply_corrections(rows, torn, DEMO)
+    changed = fixed.select("row_id", F.col("status").alias("after")).join(
+        rows.select("row_id", F.col("code").alias("key"), F.col("status").alias("before")), "row_id"
+    ).where(~F.col("before").eqNullSafe(F.col("after"))).select(
+        "key", F.lit("status").alias("variable"), "before", "after")
+    return conflicts.withColumn("kind", F.lit("conflict")).unionByName(
+        changed.withColumn("kind", F.lit("applied")))
+
+
 # A dictionary of the registry with one variable undocumented, one blank cell,
 # one wrong version and one incomplete domain.
 FIELDS = ("type", "domain", "version")

@@ -11,7 +11,7 @@ from checks.demo import DEMO, REGISTRY, registry
 from pulcra.functions import predicates as P
 from pulcra.functions import text as T
 from pulcra.operators.catalog import map_column
-from pulcra.sources.pages import attribute, rows_of
+from pulcra.sources.pages import attribute, field_by_id, rows_of
 
 # Every document whole, plus a second row per document with planted dirt.
 DIRTY_SQL = """
@@ -182,6 +182,27 @@ def page_attributes(spark, sf_dir):
         attribute(html, "form", "action").alias("form_action"))
 
 
+# Each page with a form field and a table of its own before its other markup.
+PLANT = ("concat('<input type=\"hidden\" id=\"__state\" value=\"s', page_id, '\"><table class=\"x\" id=\"result\"><tr><td>', "
+         "page_id, '</td></tr><tr><td>', url, '</td></tr></table><table id=\"other\"><tr><td>no</td></tr></table>', html)")
+
+
+@query("page_fields_by_id", """SELECT page_id, 's' || page_id AS state, '' AS absent FROM pages""")
+def page_fields_by_id(spark, sf_dir):
+    """S12 by id."""
+    html = F.expr(PLANT)
+    return table(spark, sf_dir, "pages").select(
+        "page_id", field_by_id(html, "__state").alias("state"), field_by_id(html, "__none").alias("absent"))
+
+
+@query("page_rows_by_id", """SELECT page_id, 0 AS row_no, CAST(page_id AS VARCHAR) AS cell FROM pages
+UNION ALL SELECT page_id, 1, url FROM pages""")
+def page_rows_by_id(spark, sf_dir):
+    """Rows of the element with an id only."""
+    pages = table(spark, sf_dir, "pages").withColumn("html", F.expr(PLANT))
+    return rows_of(pages, "page_id", "html", "<tr>.*?</tr>", {"cell": "<td>([^<]*)</td>"}, within=("table", "result"))[0]
+
+
 ROW = '<li><a href="[^"]*">[^<]*</a></li>'
 
 

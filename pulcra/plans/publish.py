@@ -5,12 +5,12 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pulcra.functions import predicates as P
-from pulcra.functions.rowhash import digest_number, row_text
+from pulcra.functions.rowhash import digest_number
 from pulcra.operators.catalog import coverage
 from pulcra.operators.profiling import all_blank
 from pulcra.operators.validation import gate
@@ -95,6 +95,12 @@ def publish(df: DataFrame, p: Profile, catalogue: DataFrame, path: str) -> Publi
     return Published(path, mark[0], mark, checks)
 
 
+def file_number(file: Column | str) -> Column:
+    """The number in a part file's name: names sort as text, and a hundred
+    thousand files have longer numbers than ninety-nine thousand."""
+    return F.regexp_extract(file, r"part-(\d+)", 1).try_cast("bigint")
+
+
 def order_breaks(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Neighbouring rows of a stored Parquet table that are out of order.
 
@@ -108,16 +114,18 @@ def order_breaks(spark: SparkSession, path: str, key: str) -> DataFrame:
     inside = Window.partitionBy("file", "chunk").orderBy("at")
     chunks = rows.withColumn("bad", F.lag(key).over(inside) > F.col(key)).groupBy("file", "chunk").agg(
         F.count_if("bad").alias("inside"), F.min(key).alias("low"), F.max(key).alias("high"))
-    across = Window.orderBy("file", "chunk")
+    across = Window.orderBy(file_number("file"), "file", "chunk")
     return chunks.withColumn("across", (F.lag("high").over(across) > F.col("low")).cast("int")).agg(
         (F.coalesce(F.sum("inside"), F.lit(0)) + F.coalesce(F.sum("across"), F.lit(0))).alias("violations")
     )
 
 
 def invariants(
-    df: DataFrame, p: Profile, expected_parents: DataFrame, *, rows: int | None = None
+    df: DataFrame, p: Profile, expected_parents: DataFrame, *, rows: int | None = None,
+    path: str | None = None,
 ) -> DataFrame:
-    """(invariant, violations) of a published table; all must be zero."""
+    """(invariant, violations) of a published table; all must be zero.
+    With the ``path`` of the stored table, its order is checked too."""
     columns = [c for c in df.columns if c != p.row_id]
     base = df.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -142,6 +150,9 @@ def invariants(
     out = out.unionByName(repeated.agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit("repeated_keys").alias("invariant"), "violations"))
     seen = df.select(p.parent).where(F.col(p.parent).isNotNull())
+    if path is not None:
+        out = out.unionByName(order_breaks(df.sparkSession, path, p.code).select(
+            F.lit("key_order").alias("invariant"), "violations"))
     gaps = coverage(seen, expected_parents.select(F.col(expected_parents.columns[0]).alias(p.parent)),
                     p.parent)
     return out.unionByName(gaps.agg(F.count(F.lit(1)).alias("violations")).select(
@@ -188,31 +199,45 @@ def check_dictionary(
     return problems
 
 
-def apply_corrections(df: DataFrame, ledger: DataFrame, p: Profile) -> tuple[DataFrame, DataFrame]:
+def apply_corrections(
+    df: DataFrame, ledger: DataFrame, p: Profile
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Approved corrections (key, variable, before, after). A cell changes
     only where both the key and its current value match. Returns the corrected
-    table and the ledger entries that match nothing."""
+    table, the ledger entries that match nothing, and the entries in conflict:
+    same key, variable and before, different after. Conflicts change nothing.
+
+    Only cells of rows that the ledger names are unpivoted; they meet unique
+    entries, so a key that very many rows hold skews the row side alone. A row
+    is known by ``p.row_id``.
+    """
     columns = [c for c in df.columns if c != p.row_id]
-    entry = ledger.groupBy("key", "variable", "before").agg(F.min("after").alias("after"))
-    entry = entry.select("key", row_text(["variable", "before"]).alias("cell"), "after")
-    # One map per key: its size is the number of corrections for that key.
-    per_key = entry.groupBy("key").agg(
-        F.map_from_entries(F.collect_list(F.struct("cell", F.struct("after")))).alias("fixes"))
-    side = broadcast_if_small(per_key)
-    joined = df.join(side, df[p.code] == side["key"], "left")
-    fixed = {}
-    for c in columns:
-        hit = F.col("fixes")[row_text([F.lit(c), F.col(c)])]
-        fixed[c] = F.when(hit.isNotNull(), hit["after"]).otherwise(F.col(c))
-    corrected = joined.withColumns(fixed).select(*df.columns)
-
-    value = F.lit(None).cast("string")
-    for c in columns:
-        value = F.when(F.col("variable") == c, F.col(c)).otherwise(value)
-    wanted = broadcast_if_small(ledger.select("key", "variable", "before").distinct())
-    matched = df.join(wanted, df[p.code] == wanted["key"]).where(
-        F.col("variable").isin(*columns) & value.eqNullSafe(F.col("before"))
-    ).select(wanted["key"], "variable", F.struct("before").alias("was")).distinct()
-    named = ledger.withColumn("was", F.struct("before"))
-    stale = named.join(matched, ["key", "variable", "was"], "left_anti").drop("was")
-    return corrected, stale.select(*ledger.columns)
+    cell = ["key", "variable", "before"]
+    entry = ledger.groupBy(*cell).agg(
+        F.min(F.struct("after")).alias("fix"),
+        (F.min(F.struct("after")) != F.max(F.struct("after"))).alias("conflict"))
+    keys = broadcast_if_small(ledger.select(F.col("key").alias("__key")).distinct())
+    named = df.join(keys, df[p.code] == keys["__key"]).select(F.col(p.row_id).alias("__row"), "__key", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("__variable"), F.col(c).cast("string").alias("__value")) for c in columns
+    ])))
+    hits = named.join(
+        broadcast_if_small(entry),
+        (F.col("__key") == F.col("key")) & (F.col("__variable") == F.col("variable"))
+        & F.col("__value").eqNullSafe(F.col("before")))
+    fixes = hits.where(~F.col("conflict")).groupBy("__row").agg(*[
+        F.max(F.when(F.col("variable") == c, F.col("fix"))).alias(f"__fix_{i}") for i, c in enumerate(columns)
+    ])
+    joined = df.join(fixes, df[p.row_id] == fixes["__row"], "left")
+    corrected = joined.withColumns({
+        c: F.when(F.col(f"__fix_{i}").isNotNull(), F.col(f"__fix_{i}")["after"]).otherwise(F.col(c))
+        for i, c in enumerate(columns)
+    }).select(*df.columns)
+
+    # A struct makes NULL a value that joins.
+    named_entries = ledger.withColumn("__was", F.struct("before"))
+    matched = hits.select("key", "variable", F.struct("before").alias("__was")).distinct()
+    stale = named_entries.join(matched, ["key", "variable", "__was"], "left_anti")
+    torn = entry.where("conflict").select(
+        F.struct("key", "variable", "before").alias("__cell"))
+    conflicts = ledger.withColumn("__cell", F.struct(*cell)).join(torn, "__cell", "left_semi")
+    return corrected, stale.select(*ledger.columns), conflicts.select(*ledger.columns)

@@ -20,14 +20,24 @@ def field_by_id(html: Column, element_id: str) -> Column:
         F.regexp_extract(html, rf'id="{re.escape(element_id)}" value="([^"]*)"', 1), F.lit(""))
 
 
+def element_by_id(html: Column, element: str, element_id: str) -> Column:
+    """The content of the first such element with this id, '' when absent."""
+    name = re.escape(element)
+    return F.coalesce(F.regexp_extract(
+        html, rf'(?s)<{name}\b[^>]*\bid="{re.escape(element_id)}"[^>]*>(.*?)</{name}>', 1), F.lit(""))
+
+
 def rows_of(
-    pages: DataFrame, key: str, html: str, row_pattern: str, cells: dict[str, str]
+    pages: DataFrame, key: str, html: str, row_pattern: str, cells: dict[str, str], *,
+    within: tuple[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Every match of ``row_pattern`` as a row of cells, each cell being
     the first group of its own pattern. Pages without rows are the second
-    table, so an empty result is visible."""
+    table, so an empty result is visible. ``within`` takes rows only from the
+    element with this name and id, up to its first closing tag."""
+    source = F.col(html) if within is None else element_by_id(F.col(html), *within)
     found = pages.select(
-        key, F.regexp_extract_all(F.col(html), F.lit(f"({row_pattern})"), 1).alias("__rows"))
+        key, F.regexp_extract_all(source, F.lit(f"({row_pattern})"), 1).alias("__rows"))
     rows = found.select(key, F.posexplode("__rows").alias("row_no", "__row"))
     out = rows.select(key, "row_no", *[
         F.regexp_extract("__row", pattern, 1).alias(name) for name, pattern in cells.items()

@@ -100,8 +100,8 @@ def test_mutation_fails_its_check(spark, places, check):
     assert states(df, places)[CHECK_NAMES[check]].errors > 0
     with pytest.raises(V.InvalidTable, match=CHECK_NAMES[check]):
         V.gate(df, SCHOOLS, places)
-    if check != "category_variants":
-        assert V.examples(df, SCHOOLS, places).where(F.col("check") == CHECK_NAMES[check]).count() > 0
+    assert V.examples(df, SCHOOLS, places).where(F.col("check") == CHECK_NAMES[check]).count() > 0
+    assert next(iter(MUTATIONS[check])) in states(df, places)[CHECK_NAMES[check]].detail
 
 
 def test_copied_row_fails_duplicates(spark, places):
@@ -109,11 +109,15 @@ def test_copied_row_fails_duplicates(spark, places):
     df = df.unionByName(df.where("row_id = 0").withColumn("row_id", F.lit(9).cast("bigint")))
     assert states(df, places)["Duplicados exactos"].errors == 1
     assert {r.row_id for r in V.duplicate_examples(df, SCHOOLS).collect()} == {0, 9}
+    shown = V.examples(df, SCHOOLS, places).where(F.col("check") == "Duplicados exactos").collect()
+    assert [(r.row_id, r.value, r.rank) for r in shown] == [(0, "2", 1), (9, "2", 2)]
 
 
 def test_dropped_column_fails_schema(spark, places):
     got = states(clean_table(spark, [{}]).drop("TELEFONO"), places)
     assert got["Esquema y tipos"].errors == 1 and got["Formato de teléfonos"].errors == 1
+    shown = V.examples(clean_table(spark, [{}]).drop("TELEFONO"), SCHOOLS, places).collect()
+    assert {r.check for r in shown} == {"Esquema y tipos", "Formato de teléfonos"}
 
 
 def test_a_cell_counts_under_every_rule_it_breaks(spark, places):

@@ -90,7 +90,34 @@ def test_publish(spark, places, tmp_path):
         X.publish(df, SCHOOLS, places, path)
     parents = spark.createDataFrame([("GUATEMALA",)], "p string")
     rows = spark.read.parquet(path)
-    assert {r.violations for r in X.invariants(rows, SCHOOLS, parents, rows=50).collect()} == {0}
+    assert {r.violations for r in X.invariants(rows, SCHOOLS, parents, rows=50, path=path).collect()} == {0}
+
+
+BROKEN = {
+    "row_count": lambda rows: rows.limit(3),
+    "empty_rows": lambda rows: rows.unionByName(rows.limit(1).select(*[F.lit(None).cast("string").alias(c) for c in rows.columns])),
+    "missing_keys": lambda rows: rows.withColumn("CODIGO", F.when(F.col("CODIGO") != "01-01-0001-46", F.col("CODIGO"))),
+    "schema": lambda rows: rows.withColumn("Unnamed: 19", F.lit("")),
+    "repeated_keys": lambda rows: rows.withColumn("CODIGO", F.lit("01-01-0001-46")),
+    "parent_coverage": lambda rows: rows.withColumn("DEPARTAMENTO", F.lit("PETEN")),
+    "key_order": lambda rows: rows.orderBy(F.desc("CODIGO")),
+}
+
+
+@pytest.mark.parametrize("name", BROKEN)
+def test_each_invariant_can_fail(spark, tmp_path, name):
+    path = str(tmp_path / "t")
+    BROKEN[name](clean_table(spark, [{} for _ in range(4)]).drop("row_id")).coalesce(1).write.parquet(path)
+    parents = spark.createDataFrame([("GUATEMALA",)], "p string")
+    rows = spark.read.parquet(path)
+    got = {r.invariant: r.violations for r in X.invariants(rows, SCHOOLS, parents, rows=4, path=path).collect()}
+    assert set(got) == set(BROKEN) and got[name] > 0
+
+
+def test_files_are_ordered_by_number(spark):
+    files = ["part-100000-x.parquet", "part-99999-x.parquet", "part-00002-x.parquet"]
+    df = spark.createDataFrame([(f,) for f in files], "f string")
+    assert [r.f for r in df.orderBy(X.file_number("f"), "f").collect()] == files[::-1]
 
 
 def test_nothing_is_published_when_a_check_fails(spark, places, tmp_path):
@@ -111,11 +138,25 @@ def test_corrections(spark):
         ("01-01-0000-46", "SECTOR", "PRIVADO", "OFICIAL"), ("01-01-0001-46", "SECTOR", None, "PRIVADO"),
         ("01-01-0000-46", "AREA", "RURAL", "URBANA"), ("x", "AREA", "URBANA", "RURAL"),
     ], "key string, variable string, before string, after string")
-    fixed, stale = X.apply_corrections(df, ledger, SCHOOLS)
+    fixed, stale, conflicts = X.apply_corrections(df, ledger, SCHOOLS)
+    assert conflicts.count() == 0
     assert [(r.SECTOR, r.AREA) for r in fixed.orderBy("row_id").collect()] == [("OFICIAL", "URBANA"), ("PRIVADO", "URBANA")]
     assert {(r.key, r.variable) for r in stale.collect()} == {("01-01-0000-46", "AREA"), ("x", "AREA")}
-    same, _ = X.apply_corrections(df, ledger.limit(0), SCHOOLS)
-    assert same.collect() == df.collect()
+    same = X.apply_corrections(df, ledger.limit(0), SCHOOLS)[0]
+    assert sorted(same.collect()) == sorted(df.collect())
+
+
+def test_contradicting_corrections_change_nothing(spark):
+    df = clean_table(spark, [{}, {"SECTOR": None}])
+    ledger = spark.createDataFrame([
+        ("01-01-0000-46", "SECTOR", "PRIVADO", "OFICIAL"), ("01-01-0000-46", "SECTOR", "PRIVADO", "MUNICIPAL"),
+        ("01-01-0001-46", "SECTOR", None, None), ("01-01-0001-46", "SECTOR", None, "OFICIAL"),
+        ("01-01-0001-46", "AREA", "URBANA", None), ("01-01-0001-46", "AREA", "URBANA", None),
+    ], "key string, variable string, before string, after string")
+    fixed, stale, conflicts = X.apply_corrections(df, ledger, SCHOOLS)
+    assert [(r.SECTOR, r.AREA) for r in fixed.orderBy("row_id").collect()] == [("PRIVADO", "URBANA"), (None, None)]
+    assert stale.count() == 0
+    assert sorted(map(str, conflicts.collect())) == sorted(map(str, ledger.where("variable = 'SECTOR'").collect()))
 
 
 def test_cleaning_takes_a_stream(spark, places, tmp_path):
