@@ -3,18 +3,19 @@
 Texts are lower-cased words (letters and digits), five-word shingles, hashed
 with XXH64; a text of fewer words is one shingle. For an item of n shingles
 every window of n shingles of a document (the whole document if it is shorter)
-has a SimHash fingerprint. Fingerprints are compared through a multi-index: 16
-blocks of 4 bits, of which a pair within 15 bits shares at least one, so no
-fingerprint inside the radius is missed. Candidates then get their exact
-similarity: weighted Jaccard, shingles weighted by their number of occurrences,
-0.8 or more. Radius 15 is what similarity 0.8 needs: it flips 9.7 of 64 bits on
-average with a deviation of 2.9, so the radius holds 98 % of pairs at the very
-threshold and practically all above it.
-
-Windows that hold no shingle of the item have similarity zero; they are left
-out before any fingerprint is computed, which loses nothing and makes the cost
-that of one pass over the words. Windows are counted by prefix sums in blocks,
-so memory does not grow with the text.
+has a SimHash fingerprint. Fingerprints are looked up in a multi-index per item
+size: eight blocks of eight bits. Of a pair within 15 bits at least one block
+differs by one bit at most, and each item stands in the nine buckets of such
+values per block, so eight lookups find every item inside the radius. Candidates
+then get their exact similarity: weighted Jaccard, shingles weighted by their
+number of occurrences, 0.8 or more. Radius 15 is what similarity 0.8 needs: it
+flips 9.7 of 64 bits on average with a deviation of 2.9, so the radius holds 98 %
+of pairs at the very threshold and practically all above it.
+
+Windows that hold no shingle of any item of their size have similarity zero to
+all of them; they are left out before any fingerprint is computed, which loses
+nothing and makes the cost that of one pass over the words. Windows are counted
+by prefix sums and looked up in blocks, so memory does not grow with the text.
 
 The index is built from the benchmark in blocks of at most BLOCK_BYTES of text;
 each block is sent to the tasks, so its size never depends on the data, and
@@ -40,10 +41,9 @@ from pyspark.sql import functions as F
 from pulcra.llm._base import query, table
 from pulcra.llm.simhash import SEED
 
-WORDS, SIMILARITY, RADIUS, NIBBLES = 5, 0.8, 15, 16
-BLOCK_BYTES, WINDOW_BLOCK = 16 << 20, 4096
+WORDS, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 15, 8
+BLOCK_BYTES, WINDOW_BLOCK, PROBE_CELLS = 16 << 20, 4096, 1 << 22
 _WORD = re.compile(r"[^\W_]+")
-_SHIFTS = (np.arange(NIBBLES) * 4).astype(np.uint64)
 MATCH = "array<struct<item_id:long,start_word:long,words:long,hamming:int,similarity:double>>"
 
 
@@ -84,6 +84,15 @@ def window_prints(h: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def window_starts(hits: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Starts of the windows of ``size`` out of ``n`` shingles that hold a hit."""
+    last = max(0, n - size)
+    edge = np.zeros(last + 2, np.int32)
+    np.add.at(edge, np.maximum(hits - size + 1, 0), 1)
+    np.add.at(edge, np.minimum(hits, last) + 1, -1)
+    return np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Weighted Jaccard of two shingle sequences, weights being occurrences."""
     keys, where = np.unique(np.concatenate((a, b)), return_inverse=True)
@@ -92,53 +101,73 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.minimum(x, y).sum() / np.maximum(x, y).sum())
 
 
+class SizeIndex:
+    """Fingerprints of the items of one size: a multi-index over their bytes.
+    A bucket (byte, value) lists the items that have this value there, give or
+    take one bit."""
+
+    def __init__(self, members: np.ndarray, prints: np.ndarray):
+        self.members, self.prints = members, prints
+        flips = np.append(0, 1 << np.arange(8)).astype(np.uint8)
+        values = prints.view(np.uint8).reshape(-1, BLOCKS)[:, :, None] ^ flips
+        self.bounds, self.buckets = np.zeros((BLOCKS, 257), np.int64), []
+        for b in range(BLOCKS):
+            flat = values[:, b].ravel()
+            self.buckets.append((np.argsort(flat, kind="stable") // len(flips)).astype(np.int32))
+            self.bounds[b, 1:] = np.cumsum(np.bincount(flat, minlength=256))
+
+    def near(self, prints: np.ndarray) -> list[tuple[int, int, int]]:
+        """(window, item, bits apart) of all pairs within RADIUS."""
+        found, step = set(), max(1, PROBE_CELLS // len(self.prints))
+        for first in range(0, len(prints), step):
+            part = prints[first:first + step]
+            octets = part.view(np.uint8).reshape(-1, BLOCKS)
+            for b in range(BLOCKS):
+                low = self.bounds[b, octets[:, b]]
+                n = self.bounds[b, octets[:, b].astype(np.int64) + 1] - low
+                window = np.repeat(np.arange(len(part)), n)
+                item = self.buckets[b][np.arange(len(window)) + np.repeat(low - np.cumsum(n) + n, n)]
+                apart = np.bitwise_count(part[window] ^ self.prints[item])
+                close = apart <= RADIUS
+                found.update(zip((window[close] + first).tolist(), self.members[item[close]].tolist(), apart[close].tolist(), strict=True))
+        return sorted(found)
+
+
 class Index:
     """Shingles and fingerprints of a block of benchmark items."""
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
         self.items = [(i, h) for i, t in items if len(h := hashes(t or ""))]
-        flat = np.concatenate([h for _, h in self.items]) if self.items else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(self.items)), [len(h) for _, h in self.items]) if self.items else flat
-        order = np.argsort(flat, kind="stable")
-        self.keys, self.owner = flat[order], owner[order].astype(np.int64)
-        self.prints = np.array([window_prints(h, np.zeros(1, np.int64), len(h))[0] for _, h in self.items], np.uint64)
+        sizes = np.array([len(h) for _, h in self.items], np.int64)
+        # Each shingle once per size of the items that hold it.
+        pairs = np.zeros(int(sizes.sum()), [("key", np.uint64), ("size", np.int64)])
+        if self.items:
+            pairs["key"], pairs["size"] = np.concatenate([h for _, h in self.items]), np.repeat(sizes, sizes)
+        pairs = np.unique(pairs)
+        self.keys, self.sizes, self.groups = pairs["key"].copy(), pairs["size"].copy(), {}
+        for size in np.unique(sizes).tolist():
+            members = np.flatnonzero(sizes == size)
+            prints = [window_prints(self.items[k][1], np.zeros(1, np.int64), size)[0] for k in members]
+            self.groups[size] = SizeIndex(members, np.array(prints, np.uint64))
 
     def matches(self, text: str) -> list[tuple]:
         if not self.items or not text:
             return []
         h = hashes(text)
         low, high = np.searchsorted(self.keys, h), np.searchsorted(self.keys, h, side="right")
-        at = np.flatnonzero(low < high)
         hits: dict[int, list[int]] = {}
-        for p in at.tolist():
-            for k in set(self.owner[low[p]:high[p]].tolist()):
-                hits.setdefault(k, []).append(p)
-        found = []
-        for k in sorted(hits):
-            best = self._best(h, k, np.array(hits[k], np.int64))
-            if best:
-                found.append((self.items[k][0], *best))
-        return found
-
-    def _best(self, h: np.ndarray, k: int, hit: np.ndarray) -> tuple | None:
-        own = self.items[k][1]
-        size, last = len(own), max(0, len(h) - len(own))
-        # Starts of all windows that hold a hit.
-        edge = np.zeros(last + 2, np.int32)
-        np.add.at(edge, np.maximum(hit - size + 1, 0), 1)
-        np.add.at(edge, np.minimum(hit, last) + 1, -1)
-        starts = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-        prints, item = window_prints(h, starts, size), self.prints[k]
-        same = ((prints ^ item)[:, None] >> _SHIFTS) & np.uint64(15) == 0
-        near = np.flatnonzero(same.any(axis=1))
-        apart = np.bitwise_count(prints[near] ^ item)
-        best = None
-        for i, bits in zip(near[apart <= RADIUS].tolist(), apart[apart <= RADIUS].tolist(), strict=True):
-            window = h[starts[i]:starts[i] + size]
-            score = similarity(window, own)
-            if score >= SIMILARITY and (best is None or score > best[3]):
-                best = (int(starts[i]), len(window) + WORDS - 1, int(bits), score)
-        return best
+        for p in np.flatnonzero(low < high).tolist():
+            for size in self.sizes[low[p]:high[p]].tolist():
+                hits.setdefault(size, []).append(p)
+        best: dict[int, tuple] = {}
+        for size, where in hits.items():
+            starts = window_starts(np.array(where, np.int64), size, len(h))
+            for w, k, bits in self.groups[size].near(window_prints(h, starts, size)):
+                window = h[starts[w]:starts[w] + size]
+                score = similarity(window, self.items[k][1])
+                if score >= SIMILARITY and (k not in best or score > best[k][3]):
+                    best[k] = (int(starts[w]), len(window) + WORDS - 1, bits, score)
+        return [(self.items[k][0], *best[k]) for k in sorted(best)]
 
 
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[Index]:

@@ -108,6 +108,31 @@ def test_decontamination_against_brute_force(spark):
     assert decontam.leaks(rows, bench.limit(0)).count() == 0 == decontam.leaks(rows.limit(0), bench).count()
 
 
+def test_multi_index_finds_every_pair_within_the_radius():
+    rng = np.random.default_rng(5)
+    prints = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    prints[1] = prints[0]
+    near = [p ^ np.bitwise_or.reduce(np.uint64(1) << rng.permutation(64)[:n].astype(np.uint64))
+            for p in prints for n in (1, 8, 14, 15, 16, 17)]
+    probes = np.array([*prints, *near], np.uint64)
+    index = decontam.SizeIndex(np.arange(100, 140), prints)
+    apart = np.bitwise_count(probes[:, None] ^ prints[None])
+    want = sorted((int(w), int(k) + 100, int(apart[w, k])) for w, k in np.argwhere(apart <= 15))
+    assert index.near(probes) == want and len(want) > 200
+    assert index.near(probes[:0]) == []
+
+
+def test_decontamination_of_shared_passages_and_repeated_items():
+    words = [f"w{i}" for i in range(40)]
+    item, other = " ".join(words), " ".join(words[:20] + [f"v{i}" for i in range(20)])
+    index = decontam.Index([(1, item), (2, other), (3, item)])
+    assert [m[0] for m in index.matches(f"before {item} after")] == [1, 3]
+    assert [m[0] for m in index.matches(f"{item} {other}")] == [1, 2, 3]
+    assert index.matches(" ".join(words[:20])) == [] and index.matches(item)[0][1:] == (0, 40, 0, 1.0)
+    many = index.matches(f"{item} " * 500)
+    assert [(m[0], m[1], m[4]) for m in many] == [(1, 0, 1.0), (3, 0, 1.0)]
+
+
 def test_quality_network_learns_and_covers_the_text(spark):
     rng = np.random.default_rng(1)
     good = lambda n: " ".join("".join(rng.choice(list("aeiounrst"), rng.integers(2, 8))) for _ in range(n))
