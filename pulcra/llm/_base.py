@@ -54,6 +54,14 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def lowest(hashed: Column, wanted: int, total: int) -> Column:
+    """Whether a 64-bit hash is among the lowest, a bound under which about
+    four times ``wanted`` of ``total`` rows lie. Before a top-k by hash it
+    changes nothing but what is sent: not k rows from each partition."""
+    span = min(1 << 64, (4 * wanted << 64) // max(1, total))
+    return hashed <= F.lit(span - (1 << 63) - 1).cast("long")
+
+
 def salted(small: DataFrame, salts: int = SALTS) -> DataFrame:
     """Every row of ``small`` once per salt, so that rows of one hot key meet
     it in ``salts`` tasks. The size estimate does not know of the copies, so the

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulcra.llm._base import query, table
+from pulcra.llm._base import lowest, query, table
 
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LINES = 400, 4000, 1500
 VARIANTS, STEPS, RIDGE, COMMON, CONFIRM = 24, 150, 1e-4, 300, 0.8
@@ -240,7 +240,8 @@ def _softmax(x: np.ndarray, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
 def sample_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
     """Lines of at most SAMPLE_DOCS documents (smallest hashes), SAMPLE_CHARS
     characters of each, at most SAMPLE_LINES lines."""
-    picked = docs.select(F.xxhash64(id_col).alias("h"), F.substring(F.coalesce(text_col, F.lit("")), 1, SAMPLE_CHARS).alias("t")).orderBy("h", "t").limit(SAMPLE_DOCS)
+    rows = docs.filter(lowest(F.xxhash64(id_col), SAMPLE_DOCS, docs.count()))
+    picked = rows.select(F.xxhash64(id_col).alias("h"), F.substring(F.coalesce(text_col, F.lit("")), 1, SAMPLE_CHARS).alias("t")).orderBy("h", "t").limit(SAMPLE_DOCS)
     return [line for r in picked.collect() for line in r["t"].split("\n") if line.strip()][:SAMPLE_LINES]
 
 
