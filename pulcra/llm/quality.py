@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulcra.llm._base import is_held_out, query, table
+from pulcra.llm._base import is_held_out, lowest, query, table
 
 CHUNK, OVERLAP, WINDOW, STRIDE = 512, 64, 8, 4
 EMBED, FILTERS, HIDDEN = 4, 24, 16
@@ -195,7 +195,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id
     n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = None
     for y in (0, 1):
-        part = known.filter(F.col("y") == y).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
+        part = known.filter((F.col("y") == y) & lowest(F.xxhash64("_id"), per_class, n.get(y, 0))).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
     text = F.coalesce(F.col(text_col), F.lit(""))
     offset = F.pmod(F.xxhash64(F.col(id_col)), F.greatest(F.char_length(text) - chars + 1, F.lit(1)).cast("long")) + 1
