@@ -8,11 +8,11 @@ from checks.base import WS, query, s_ascii, s_canonical, s_missing, s_percent, s
 from checks.demo import (
     CATALOGUE, CHILD_MAP_SQL, COLUMNS, DEMO, REGIONS, REGISTRY, SEGMENTS, catalogue, registry,
 )
-from checks.dedup_queries import near_dup_before_after, s_review
+from checks.dedup_queries import DECIDED, decided, near_dup_before_after, s_review
 from checks.text_queries import CODE, DISTRICT, s_phone_list
 from pulcra.operators import metrics as M
 from pulcra.operators import validation as V
-from pulcra.plans.cleaning import STEPS, audit_log, clean, clean_stages, cleaned_rows
+from pulcra.plans.cleaning import STEPS, audit_log, clean, clean_stages, clean_with_decisions, cleaned_rows
 from pulcra.plans.compare import quality_before_after, stored
 
 COLS = list(COLUMNS)
@@ -113,6 +113,14 @@ def clean_review(spark, sf_dir):
     return clean(registry(spark, sf_dir), DEMO, catalogue(spark, sf_dir)).review
 
 
+@query("clean_decided", f"""{BASE}, {s_review('cleaned')}, {DECIDED}
+SELECT * FROM cleaned WHERE row_id NOT IN (SELECT row_id_2 FROM decided WHERE decision = 'ELIMINAR')""")
+def clean_decided(spark, sf_dir):
+    """C11: the cleaned table after an edited review."""
+    rows, places = registry(spark, sf_dir), catalogue(spark, sf_dir)
+    return clean_with_decisions(rows, DEMO, places, decided(clean(rows, DEMO, places).review))
+
+
 # --- validation -------------------------------------------------------------------
 
 DOMAINS = {
@@ -350,14 +358,6 @@ QUALITY = f"""{BASE}, real_raw AS (SELECT * FROM registry WHERE NOT ({' AND '.jo
 {s_stage('cleaned', OUT, 'c_review', raw=False)}"""
 
 
-@query("quality_before_after", f"""{QUALITY}
-SELECT list_position([{', '.join(repr(m) for m in M.METRICS)}], b.metric) AS position, b.metric, b.value AS before,
-  a.value AS after, b.columns AS before_columns, a.columns AS after_columns
-FROM registry_m b JOIN cleaned_m a ON a.metric = b.metric""")
-def quality(spark, sf_dir):
-    return quality_before_after(stored(registry(spark, sf_dir)), DEMO, catalogue(spark, sf_dir))
-
-
 _CORRECTIONS = {
     "removed_rows": ("TODAS", "drop_empty"), "district_to_null": ("district", "identifier"),
     "phones_reformatted": ("phone", "identifier"), "dashes_removed": ("director", "dashes"),
@@ -373,12 +373,24 @@ def s_odd(c: str) -> str:
             f"({t} IN ('-', '.', '--', '---') OR regexp_full_match({t}, '-+')))")
 
 
+CORRECTIONS = f"SELECT 'punctuation_to_null' AS correction, {s_odd('address')} + {s_odd('director')} AS affected FROM real_raw" + "".join(
+    f" UNION ALL SELECT '{k}', CAST(coalesce(sum(affected) FILTER (WHERE variable = '{v}' AND step = '{s}'), 0) AS BIGINT) FROM audit"
+    for k, (v, s) in _CORRECTIONS.items())
+
+
 @query("corrections_from_log", f"""{BASE}, {LOG}, real_raw AS (SELECT * FROM registry WHERE NOT
-  ({' AND '.join(s_missing(c) for c in COLS)}))
-SELECT 'punctuation_to_null' AS correction, {s_odd('address')} + {s_odd('director')} AS affected FROM real_raw
-""" + "".join(f""" UNION ALL SELECT '{k}', CAST(coalesce(sum(affected) FILTER (WHERE variable = '{v}' AND step = '{s}'), 0)
-  AS BIGINT) FROM audit""" for k, (v, s) in _CORRECTIONS.items()))
+  ({' AND '.join(s_missing(c) for c in COLS)})) {CORRECTIONS}""")
 def corrections_from_log(spark, sf_dir):
     raw = registry(spark, sf_dir)
     wide, log = clean_stages(raw, DEMO, catalogue(spark, sf_dir))
     return M.corrections(raw, audit_log(wide, log, None), DEMO)
+
+
+@query("quality_before_after", f"""{QUALITY}, {LOG.replace(s_review('cleaned') + ', ', '').replace('FROM review', 'FROM c_review')}, report AS ({CORRECTIONS})
+SELECT list_position([{', '.join(repr(m) for m in M.METRICS)}], b.metric) AS position, b.metric, b.value AS before,
+  a.value AS after, b.columns AS before_columns, a.columns AS after_columns
+FROM registry_m b JOIN cleaned_m a ON a.metric = b.metric
+UNION ALL SELECT {len(M.METRICS)}, 'corrections', 0, CAST(sum(affected) AS DOUBLE), '',
+  string_agg(correction || '=' || affected, '; ' ORDER BY correction || '=' || affected) FROM report""")
+def quality(spark, sf_dir):
+    return quality_before_after(stored(registry(spark, sf_dir)), DEMO, catalogue(spark, sf_dir))

@@ -117,15 +117,23 @@ def block_reunion(spark, sf_dir):
     return X.fingerprint(separator_blocks(registry(spark, sf_dir), "row_id", blank), COLS)
 
 
-@query("source_manifest", f"WITH {REGISTRY} SELECT parent AS query_key, 'ALL' AS level, count(*) AS rows, "
-       "'2026-01-31' AS extracted, TRUE AS digests_present FROM registry WHERE parent <> '' GROUP BY parent")
+LINE = "concat(CAST(row_id AS STRING), '|', code, '|', coalesce(name, ''))"
+BATCH = 100_000
+
+
+@query("source_manifest", f"""WITH {REGISTRY}, lines AS (SELECT row_id, row_id // {BATCH} AS batch, {LINE} AS line FROM registry)
+SELECT CAST(batch AS VARCHAR) AS query_key, 'ALL' AS level, count(*) AS rows, '2026-01-31' AS extracted,
+  'batch=' || batch AS folder, sha256(string_agg(line || chr(10), '' ORDER BY row_id)) AS sha256 FROM lines GROUP BY batch""")
 def source_manifest(spark, sf_dir):
-    path = stored_csv(spark, registry(spark, sf_dir).select(*COLS))
-    rows = csv.read_raw(spark, path, file="file", **PLAIN)
-    digests = manifest.file_digests(spark, f"{path}/*.csv")
-    listed = manifest.source_manifest(rows, "parent", "file", digests, level="ALL", extracted="2026-01-31")
-    return listed.groupBy("query_key", "level", "extracted").agg(
-        F.sum("rows").alias("rows"), F.bool_and(F.length("sha256") == 64).alias("digests_present"))
+    """One text file for each 100,000 ids, so its content and digest are known."""
+    path = scratch_path(spark, "batches")
+    lines = registry(spark, sf_dir).select("row_id", F.floor(F.col("row_id") / BATCH).alias("batch"), F.expr(LINE).alias("value"))
+    lines.repartition("batch").sortWithinPartitions("batch", "row_id").select("batch", "value").write.partitionBy("batch").text(path)
+    rows = spark.read.text(path).select(
+        F.col("batch").cast("string").alias("batch"), manifest.file_name(F.col("_metadata.file_path"), 2).alias("file"))
+    digests = manifest.file_digests(spark, f"{path}/*/*.txt", 2)
+    listed = manifest.source_manifest(rows, "batch", "file", digests, level="ALL", extracted="2026-01-31")
+    return listed.select("query_key", "level", "rows", "extracted", F.split("file", "/")[0].alias("folder"), "sha256")
 
 
 @query("file_digests")
@@ -185,6 +193,14 @@ def publish_sorted(spark, sf_dir):
     return placed.join(starts, "f").select(*OUT, (F.col("start") + F.col("i") + 1).alias("rank"))
 
 
+@query("publish_csv", f"{VALID} SELECT * FROM valid")
+def publish_csv(spark, sf_dir):
+    """X2 as CSV files, under a fixed name."""
+    path = f"{scratch_path(spark, 'published')}/registry.csv"
+    X.publish(valid_rows(spark, sf_dir), DEMO, catalogue(spark, sf_dir), path, csv=True, name="registry.csv")
+    return csv.read_for_validation(spark, path, columns=OUT)
+
+
 @query("validation_gate", f"{VALID} SELECT count(*) AS rows, 7 AS checks_passed FROM valid")
 def validation_gate(spark, sf_dir):
     """V12 on a table that passes; the gate raises on any other."""

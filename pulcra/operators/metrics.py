@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,7 @@ METRICS = (
     "records", "variables", "missing_cells", "total_cells", "missing_percent",
     "comparable_missing_cells", "comparable_total_cells", "comparable_missing_percent",
     "variables_with_missing", "exact_duplicates", "duplicate_pairs", "duplicate_records",
-    "inconsistent_format", "wrong_type", "inconsistent_categories",
+    "inconsistent_format", "wrong_type", "inconsistent_categories", "corrections",
 )
 
 
@@ -136,6 +136,18 @@ def compare(before: DataFrame, after: DataFrame) -> DataFrame:
              "before_columns", "after_columns")
 
 
+def correction_total(report: DataFrame | None, spark: SparkSession) -> DataFrame:
+    """The corrections (M9) as a metric: their sum, and each of them as
+    ``correction=affected``, sorted. Without a report nothing was corrected."""
+    if report is None:
+        return spark.sql("SELECT 'corrections' AS metric, 0D AS value, '' AS columns")
+    said = F.concat("correction", F.lit("="), F.col("affected"))  # one line per correction
+    return report.agg(
+        F.coalesce(F.sum("affected"), F.lit(0)).cast("double").alias("value"),
+        F.array_join(F.array_sort(F.collect_list(said)), "; ").alias("columns"),
+    ).select(F.lit("corrections").alias("metric"), "value", "columns")
+
+
 def affected(audit: DataFrame, wanted: dict[str, tuple[str, str]]) -> DataFrame:
     """M7: sum of affected rows per (variable, step code); non-numeric counts
     as zero."""

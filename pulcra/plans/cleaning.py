@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pulcra.functions import text
@@ -145,13 +145,19 @@ def cleaned_rows(wide: DataFrame, p: Profile) -> DataFrame:
     )
 
 
-def audit_log(wide: DataFrame, log: list[Logged], review: DataFrame | None) -> DataFrame:
+def log_counts(log: list[Logged]) -> list[Column]:
+    """C14 for all row-level steps, as aggregates n0, n1, ..."""
+    return [F.count_if(F.col("real") & x.count if x.only_real else x.count).alias(f"n{i}")
+            for i, x in enumerate(log)]
+
+
+def audit_log(
+    wide: DataFrame, log: list[Logged], review: DataFrame | None, counts: DataFrame | None = None
+) -> DataFrame:
     """(step_no, variable, step, problem, transformation, affected,
-    justification). One aggregate for all row-level steps."""
-    counts = wide.agg(*[
-        F.count_if(F.col("real") & x.count if x.only_real else x.count).alias(f"n{i}")
-        for i, x in enumerate(log)
-    ])
+    justification). One aggregate for all row-level steps, unless its row was
+    observed already while the table was written."""
+    counts = wide.agg(*log_counts(log)) if counts is None else counts
 
     def line(i: int, variable: str, step: str, affected: Column, always: bool) -> Column:
         condition, effect, applied = STEPS[step]
@@ -182,14 +188,21 @@ def clean(
     depend on it; pass an edited review to ``apply_decisions`` to act on it.
     The cleaned table feeds several later passes (block sizes, pairing,
     validation, metrics), so it is written once to the shared folder and read
-    back column by column instead of being cleaned again for each of them.
+    back column by column instead of being cleaned again for each of them; the
+    audit counts are observed in the same pass (no shuffle lies between them
+    and the write, so a repeated task is counted once).
     """
     wide, log = clean_stages(df, p, catalogue)
-    data = cleaned_rows(wide, p)
     if materialize:
-        data = written(data, "cleaned")
+        seen = Observation()
+        data = written(cleaned_rows(wide.observe(seen, *log_counts(log)), p), "cleaned")
+        names = [f"n{i}" for i in range(len(log))]
+        counts = df.sparkSession.createDataFrame(
+            [tuple(seen.get.get(n, 0) for n in names)], ", ".join(f"{n} bigint" for n in names))
+    else:
+        data, counts = cleaned_rows(wide, p), None
     review = near_duplicates(data, p)
-    return Cleaned(data, audit_log(wide, log, review), review, wide)
+    return Cleaned(data, audit_log(wide, log, review, counts), review, wide)
 
 
 def clean_with_decisions(df: DataFrame, p: Profile, catalogue: DataFrame, decided: DataFrame) -> DataFrame:

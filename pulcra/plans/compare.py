@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from pulcra.operators.metrics import compare, corrections, stage_metrics
+from pulcra.operators.metrics import compare, correction_total, corrections, stage_metrics
 from pulcra.plans.cleaning import Cleaned, clean
 from pulcra.profile import Profile
 from pulcra.session import written
@@ -16,9 +16,11 @@ def quality_before_after(
     """M11 for the raw and the cleaned table. The raw table is written once
     when it is itself a derivation; both stages then read columns."""
     cleaned = cleaned or clean(raw, p, catalogue)
+    before, after = stage_metrics(raw, p, raw=True), stage_metrics(cleaned.data, p, raw=False, review=cleaned.review)
+    report = corrections(raw, cleaned.audit, p)
     return compare(
-        stage_metrics(raw, p, raw=True),
-        stage_metrics(cleaned.data, p, raw=False, review=cleaned.review),
+        before.unionByName(correction_total(None, raw.sparkSession)),
+        after.unionByName(correction_total(report, raw.sparkSession)),
     )
 
 

@@ -16,6 +16,7 @@ from pulcra.operators.profiling import all_blank
 from pulcra.operators.validation import gate
 from pulcra.profile import Profile
 from pulcra.session import broadcast_if_small
+from pulcra.sources.csv import read_for_validation, write_csv
 
 _CHUNK = 1 << 20
 
@@ -68,10 +69,19 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def publish(df: DataFrame, p: Profile, catalogue: DataFrame, path: str) -> Published:
+def publish(
+    df: DataFrame, p: Profile, catalogue: DataFrame, path: str, *, csv: bool = False, name: str | None = None
+) -> Published:
     """Validate, write next to the target, read back, validate again,
     compare fingerprints, and only then rename into place. Any failure removes
-    the staging folder and leaves the target as it was."""
+    the staging folder and leaves the target as it was.
+
+    The table is Parquet, or with ``csv`` a folder of CSV files with headers,
+    NULL as the empty field; as CSV does not tell NULL from '', a table that
+    holds '' fails the comparison. ``name`` is the only last part of ``path``
+    that is accepted. The rename needs a store that can rename."""
+    if name is not None and path.rstrip("/").rsplit("/", 1)[-1] != name:
+        raise ValueError(f"the published table must be called {name}")
     spark = df.sparkSession
     fs, target = _file_system(spark, path)
     if fs.exists(target):
@@ -80,8 +90,12 @@ def publish(df: DataFrame, p: Profile, catalogue: DataFrame, path: str) -> Publi
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
     _, staged = _file_system(spark, staging)
     try:
-        final.write.parquet(staging)
-        back = spark.read.schema(final.schema).parquet(staging)
+        if csv:
+            write_csv(final, staging)
+            back = read_for_validation(spark, staging, columns=final.columns)
+        else:
+            final.write.parquet(staging)
+            back = spark.read.schema(final.schema).parquet(staging)
         key = [p.code]
         checks = gate(back.withColumn(p.row_id, digest_number(key)), p, catalogue)
         mark = tuple(fingerprint(back).first())

@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulcra.session import broadcast_if_small
 
 
-def file_digests(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def file_name(path: Column, levels: int = 1) -> Column:
+    """The last ``levels`` parts of a path; files written to partition folders
+    share their names, so two levels tell them apart."""
+    return F.array_join(F.slice(F.split(path, "/"), -levels, levels), "/")
+
+
+def file_digests(spark: SparkSession, paths: str | Sequence[str], levels: int = 1) -> DataFrame:
     """(file, bytes, sha256) of whole files, one file per row and in
     parallel over files. A file must fit a row (2 GB); identify larger tables
     by ``publish.fingerprint``."""
     files = spark.read.format("binaryFile").load(paths)
     return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
+        file_name(F.col("path"), levels).alias("file"),
         F.col("length").alias("bytes"),
         F.sha2("content", 256).alias("sha256"),
     )

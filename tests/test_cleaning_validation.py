@@ -5,6 +5,7 @@ from pulcra.operators import metrics as M
 from pulcra.operators import profiling as A
 from pulcra.operators import validation as V
 from pulcra.plans.cleaning import clean
+from pulcra.plans.compare import quality_before_after
 from pulcra.profile import CHECKS
 from pulcra.profiles.schools import CHECK_NAMES, SCHOOLS
 from tests.rows import clean_table, raw_table
@@ -48,6 +49,13 @@ def test_audit_log(cleaned):
     assert ("NIVEL", "category") not in log and log["TODAS", "review"] == 0
 
 
+def test_observed_counts_equal_a_second_pass(spark, places, cleaned):
+    apart = clean(raw_table(spark, RAW), SCHOOLS, places, materialize=False)
+    assert sorted(map(str, apart.audit.collect())) == sorted(map(str, cleaned.audit.collect()))
+    empty = clean(raw_table(spark, RAW).limit(0), SCHOOLS, places)
+    assert empty.data.count() == 0 and {r.affected for r in empty.audit.collect()} == {0}
+
+
 def test_cleaning_is_idempotent(spark, places, cleaned):
     again = clean(cleaned.data.drop("ZONA_CAPITAL"), SCHOOLS, places)
     columns = [c for c in SCHOOLS.clean_columns if c != "ZONA_CAPITAL"]
@@ -57,9 +65,7 @@ def test_cleaning_is_idempotent(spark, places, cleaned):
 
 def test_metrics_and_corrections(spark, places, cleaned):
     raw = raw_table(spark, RAW)
-    got = {r.metric: r for r in M.compare(
-        M.stage_metrics(raw, SCHOOLS, raw=True),
-        M.stage_metrics(cleaned.data, SCHOOLS, raw=False, review=cleaned.review)).collect()}
+    got = {r.metric: r for r in quality_before_after(raw, SCHOOLS, places, cleaned).collect()}
     assert set(got) == set(M.METRICS)
     assert (got["records"].before, got["records"].after) == (6, 4)
     assert (got["variables"].before, got["variables"].after) == (17, 18)
@@ -72,6 +78,9 @@ def test_metrics_and_corrections(spark, places, cleaned):
     assert len(fixes) == 10
     assert fixes["removed_rows"] == 2 and fixes["dashes_removed"] == 1 and fixes["punctuation_to_null"] == 1
     assert fixes["parents_normalised"] == 2 and fixes["PLAN_normalised"] == 0
+    said = got["corrections"]
+    assert (said.before, said.after, said.before_columns) == (0, sum(fixes.values()), "")
+    assert said.after_columns == "; ".join(sorted(f"{k}={v}" for k, v in fixes.items()))
 
 
 def states(df, places):

@@ -93,6 +93,17 @@ def test_publish(spark, places, tmp_path):
     assert {r.violations for r in X.invariants(rows, SCHOOLS, parents, rows=50, path=path).collect()} == {0}
 
 
+def test_publish_as_csv_under_a_fixed_name(spark, places, tmp_path):
+    df = clean_table(spark, [{}, {"DIRECTOR": 'A "B", C'}, {"DISTRITO": None}]).repartition(2)
+    with pytest.raises(ValueError, match="must be called"):
+        X.publish(df, SCHOOLS, places, str(tmp_path / "other.csv"), csv=True, name="final.csv")
+    path = str(tmp_path / "final.csv")
+    done = X.publish(df, SCHOOLS, places, path, csv=True, name="final.csv")
+    back = csv.read_for_validation(spark, path, columns=list(SCHOOLS.clean_columns))
+    assert done.rows == 3 and X.same_rows(back, df.select(*SCHOOLS.clean_columns))
+    assert [p.name for p in tmp_path.iterdir()] == ["final.csv"]
+
+
 BROKEN = {
     "row_count": lambda rows: rows.limit(3),
     "empty_rows": lambda rows: rows.unionByName(rows.limit(1).select(*[F.lit(None).cast("string").alias(c) for c in rows.columns])),
