@@ -9,8 +9,8 @@ Shape of the work at scale:
   :func:`oversized_blocks` and :func:`oversized_copies` report them;
 * :func:`review_groups` is the complete review: equal entries are one row, and
   candidates come from equi-joins that the match rule implies;
-* what remains is an equi-join on (block, unit), carrying each row's token
-  sets built once.
+* what remains is an equi-join on (block, unit), carrying ids and token sets
+  built once; the records' columns join the accepted pairs.
 """
 
 from __future__ import annotations
@@ -150,17 +150,16 @@ def pairable_rows_all(keyed: DataFrame, p: Profile) -> DataFrame:
 
 
 def scored_pairs(df: DataFrame, p: Profile) -> DataFrame:
-    """Accepted pairs with similarities, ``l_``/``r_`` columns kept.
+    """Accepted pairs as l_/r_ row ids, similarities and same_phone.
 
-    The unit rule is a join key, the title threshold is applied before the
-    address is looked at, and pairs found by both blockings are merged last,
-    when few are left.
+    Only ids, keys and token lists are shuffled. The unit rule is a join key,
+    the title threshold is applied before the address is looked at, and pairs
+    found by both blockings are merged last, when few are left.
     """
     keyed = with_keys(df, p).withColumns({
         "_title_tokens": tokens(F.col("_title")), "_address_tokens": tokens(F.col("_address")),
     })
-    shown = list(dict.fromkeys([p.code, p.title, p.address, p.phone, *p.compared]))
-    kept = [p.row_id, *shown, "_title_tokens", "_address_tokens", "_phone", "_address"]
+    kept = [p.row_id, "_title_tokens", "_address_tokens", "_phone", "_address"]
     pairs = _paired(pairable_rows(keyed, p).select("_how", "_block", "_unit", *kept), p, kept)
     pairs = with_token_set_score(
         pairs, "l__title_tokens", "r__title_tokens", "title_score", at_least=p.title_at_least
@@ -171,7 +170,9 @@ def scored_pairs(df: DataFrame, p: Profile) -> DataFrame:
     accepted = pairs.withColumn("same_phone", same_phone).where(
         (F.col("address_score") >= p.address_at_least) | F.col("same_phone") | same_address
     )
-    return accepted.dropDuplicates([f"l_{p.row_id}", f"r_{p.row_id}"])
+    return accepted.select(
+        f"l_{p.row_id}", f"r_{p.row_id}", "title_score", "address_score", "same_phone"
+    ).dropDuplicates([f"l_{p.row_id}", f"r_{p.row_id}"])
 
 
 def review_groups(df: DataFrame, p: Profile) -> DataFrame:
@@ -219,8 +220,12 @@ def review_groups(df: DataFrame, p: Profile) -> DataFrame:
 
 def near_duplicates(df: DataFrame, p: Profile) -> DataFrame:
     """The review table, one row per accepted pair. Order it by
-    (row_id_1, row_id_2) where it is shown or written."""
+    (row_id_1, row_id_2) where it is shown or written. What is shown of the
+    records joins the accepted pairs, which are few, by the row id."""
     pairs = scored_pairs(df, p)
+    for side in ("l", "r"):
+        columns = dict.fromkeys([p.row_id, p.code, p.title, p.address, p.phone, *p.compared])
+        pairs = pairs.join(df.select(*[F.col(c).alias(f"{side}_{c}") for c in columns]), f"{side}_{p.row_id}")
     changed = [
         F.when(~F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}")), F.lit(c)) for c in p.compared
     ]
