@@ -218,11 +218,27 @@ def review_groups(df: DataFrame, p: Profile) -> DataFrame:
     return accepted.select("i", "j", "copies_1", "copies_2", "title_score", "address_score", "same_phone").toDF(*names).unionByName(same)
 
 
+def complete_pairs(df: DataFrame, p: Profile) -> DataFrame:
+    """The pairs of :func:`review_groups` as pairs of rows, in the columns of
+    :func:`scored_pairs`: decisions name rows, so copies are written out."""
+    rows = with_keys(df, p).where(F.col("_title") != "").select(
+        p.row_id, row_text(["_unit", "_title", "_address", "_phone"]).alias("_entry"))
+    firsts = rows.groupBy("_entry").agg(F.min(p.row_id).alias("_first"))
+    owned = rows.join(firsts, "_entry").select("_first", p.row_id)
+    pairs = review_groups(df, p).join(owned.toDF("first_row_id_1", "_i"), "first_row_id_1").join(
+        owned.toDF("first_row_id_2", "_j"), "first_row_id_2").where("first_row_id_1 <> first_row_id_2 or _i < _j")
+    return pairs.select(
+        F.least("_i", "_j").alias(f"l_{p.row_id}"), F.greatest("_i", "_j").alias(f"r_{p.row_id}"),
+        "title_score", "address_score", "same_phone")
+
+
 def near_duplicates(df: DataFrame, p: Profile) -> DataFrame:
     """The review table, one row per accepted pair. Order it by
     (row_id_1, row_id_2) where it is shown or written. What is shown of the
-    records joins the accepted pairs, which are few, by the row id."""
-    pairs = scored_pairs(df, p)
+    records joins the accepted pairs, which are few, by the row id. Blocks are
+    used only by a profile that sets a prefix or a limit."""
+    blocked = any(v is not None for v in (p.block_prefix, p.title_block_limit, p.phone_block_limit))
+    pairs = scored_pairs(df, p) if blocked else complete_pairs(df, p)
     for side in ("l", "r"):
         columns = dict.fromkeys([p.row_id, p.code, p.title, p.address, p.phone, *p.compared])
         pairs = pairs.join(df.select(*[F.col(c).alias(f"{side}_{c}") for c in columns]), f"{side}_{p.row_id}")

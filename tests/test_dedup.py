@@ -138,6 +138,28 @@ def test_complete_review_of_large_groups(spark):
     assert got == {**dict.fromkeys(near, (1, 1)), (90, 90): (500, 500), (90, 590): (500, 1)} and len(near) > 1000
 
 
+def test_default_review_against_all_pairs(spark):
+    """A profile that sets nothing compares all rows of a unit."""
+    rng = random.Random(8)
+    names = ["COLEGIO SAN JOSE DE LOS INFANTES", "COLEGIO SAN JOSE DE LOS INFANTES II", "LICEO X",
+             "INFANTES COLEGIO SAN JOSE DE LOS", "COLEGIO SAN JOSE DE LOS INFANTEZ", None]
+    rows = [{
+        "ESTABLECIMIENTO": rng.choice(names), "DIRECCION": rng.choice(["3A CALLE 4-55", "3A CALLE 4-56", "AVENIDA LARGA 12", None]),
+        "TELEFONO": rng.choice(["55551234", None, None]), "SECTOR": rng.choice(["PRIVADO", "OFICIAL"]),
+    } for _ in range(50)]
+    expected = set()
+    for i in range(50):
+        for j in range(i + 1, 50):
+            (na, da, ta, sa), (nb, db, tb, sb) = ([v or "" for v in rows[k].values()] for k in (i, j))
+            near = plain_score(da, db) >= 85 or (ta and ta == tb) or (da and da == db)
+            if sa == sb and plain_score(na, nb) >= 94 and near:
+                expected.add((i, j))
+    got = [(r.row_id_1, r.row_id_2) for r in D.near_duplicates(clean_table(spark, rows), SCHOOLS).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    blocks = D.scored_pairs(clean_table(spark, rows), SCHOOLS).count()
+    assert 0 < blocks < len(expected)
+
+
 def test_decisions(spark):
     df = clean_table(spark, [{}] * 4)
     ledger = spark.createDataFrame(
