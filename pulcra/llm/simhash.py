@@ -21,6 +21,11 @@ costs one row. Defined cases: null and empty texts have fingerprint zero and
 link like any other; a null id takes the component of its fingerprint (null if
 no id shares it); repeated rows give repeated rows; an empty table an empty
 result. Only id and text columns are read.
+
+``unique_rows`` keeps one document of each component: the one with the smallest
+id (rows without an id come last), of several texts under that id the one with
+the smallest digest. Rows that repeat id and text are one document and stay or
+go together.
 """
 
 from __future__ import annotations
@@ -151,6 +156,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce("_least", "_id").alias("component_id"))
 
 
+def unique_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                radius: int = RADIUS, size: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns. A document is
+    named by its id and a 128-bit digest, so texts that share an id stay apart."""
+    named = F.md5(F.concat_ws("\n", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.col(text_col)))
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), named.alias("name"))
+    found = near_duplicates(docs.select(order.alias("doc"), F.col(text_col).alias("text")), "doc", "text", radius, size)
+    gone = found.filter("doc <> component_id").select("doc.name").distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), named.alias("name"))
+    return whole.join(gone, "name", "left_anti").select("row.*")
+
+
 @query("op2_simhash")
 def op2(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))

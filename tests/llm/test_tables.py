@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pulcra.llm import components, exact, mixing, similar, simhash, suite, warc
+from pulcra.llm import components, exact, mixing, simhash, suite, warc
 from pulcra.llm._base import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -112,43 +112,32 @@ def test_components(spark):
     assert got == {**{i: 1 for i in range(1, 41)}, 98: 98, 99: 98, 100: 98}
 
 
-def test_near_stage_against_brute_force(spark, monkeypatch):
-    """Pairs between 0.8 and 0.95, just under 0.8, a group of copies and a common passage."""
+def test_near_stage_against_brute_force(spark):
+    """Near copies, texts that share an id, rows without id, and lone texts."""
     rng = np.random.default_rng(2)
-    passage, rows = [f"p{i}" for i in range(60)], []
-    for k in range(30):
-        words = [f"w{k}_{i}" for i in range(int(rng.integers(30, 200)))]
-        rows.append((10 * k, " ".join(words + passage)))
-        for j in range(1, 4):
-            w = list(words)
-            for i in rng.integers(0, len(w), 1 + j * k // 6):
-                w[i] = f"v{k}_{j}_{i}"
-            rows.append((10 * k + j, " ".join(w + passage)))
-    hot = [f"h{i}" for i in range(150)]
-    rows += [(1000 + k, " ".join([*hot[:k % 140], f"x{k}", *hot[k % 140 + 1:]])) for k in range(80)]
-    rows += [(2000, "a b"), (2001, "A  b"), (2002, "a c"), (2003, ""), (2004, None), (None, "a b"), (2005, "zz"), (2005, "yy")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
-    sets = []
-    for _, t in rows:
-        w = (t or "").lower().split()
-        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
-    group, scores = list(range(len(rows))), []
+    words = [f"w{i}" for i in rng.integers(0, 400, 300)]
+    rows = []
+    for k in range(40):
+        w = list(words)
+        for i in rng.integers(0, 300, k % 4):
+            w[i] = f"v{k}"
+        rows.append((100 + k % 20, " ".join(w)))
+    rows += [(k % 25 if k % 7 else None, " ".join(f"u{i}" for i in rng.integers(0, 9999, 50))) for k in range(50)]
+    rows += [(500, ""), (501, None), (502, "a"), (502, "b"), (503, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("name", F.lit("en")).withColumn("row", F.lit(1))
+    prints, group = [plain_print(t) for _, t in rows], list(range(len(rows)))
     for a in range(len(rows)):
         for b in range(a):
-            scores.append(len(sets[a] & sets[b]) / max(1, len(sets[a] | sets[b])))
-            if scores[-1] >= 0.8 or (rows[a][1] or "") == (rows[b][1] or ""):
+            if (prints[a] ^ prints[b]).bit_count() <= 4:
                 old, new = group[a], group[b]
                 group = [new if g == old else g for g in group]
-    assert sum(0.8 <= s < 0.95 for s in scores) > 30 and sum(0.7 < s < 0.8 for s in scores) > 10
-    least: dict = {}
-    for (i, _), g in zip(rows, group, strict=True):
-        least[g] = min((x for x in (least.get(g), i) if x is not None), default=None)
-    want = sorted(i if i is not None else -1 for (i, _), g in zip(rows, group, strict=True) if i is None or i == least[g])
-    for sample in (4096, 8):  # the sample orders, it never decides
-        monkeypatch.setattr(similar, "SAMPLE", sample)
-        kept = corpus_pipeline.near_stage(spark, docs, SF)
-        assert kept.columns == docs.columns
-        assert sorted(-1 if r[0] is None else r[0] for r in kept.select("doc_id").collect()) == want
+    kept = corpus_pipeline.near_stage(spark, docs, SF)
+    assert kept.columns == docs.columns
+    place = {(i, t): g for (i, t), g in zip(rows, group, strict=True)}
+    got = sorted({(place[r["doc_id"], r["text"]], r["doc_id"], r["text"]) for r in kept.collect()})
+    least = {g: min((i for (i, _), h in zip(rows, group, strict=True) if h == g and i is not None), default=None) for g in group}
+    assert [(g, i) for g, i, _ in got] == sorted(least.items()) and len(least) < len(rows) - 30
+    assert simhash.unique_rows(docs.limit(0)).count() == 0
 
 
 PAGES = [
