@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulcra.llm import decontam, exact, mixing, quality, similar
+from pulcra.llm import decontam, exact, mixing, quality, simhash
 from pulcra.llm._base import stored, table
 
 
@@ -24,11 +24,9 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each near-duplicate group:
-    chains of texts whose five-word shingle sets are at least 0.8 alike.
-    Documents are named by their id; rows without one are kept."""
-    groups = similar.near_duplicates(docs)
-    return docs.join(groups.filter("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    """Keep one document of each component of fingerprints, as op2 links them:
+    four-word shingles, at most four differing bits."""
+    return simhash.unique_rows(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +44,7 @@ STAGES = [
     ("benchmark", benchmark_stage), ("mixing", mixing_stage),
 ]
 
-# The quality network and the shingle sets have no SQL form.
+# The quality network and the fingerprints have no SQL form.
 ORACLE_SQL = None
 
 
