@@ -152,24 +152,55 @@ def near_dup_review(spark, sf_dir):
 _TOGETHER = " AND ".join(f"l.{c} IS NOT DISTINCT FROM r.{c}" for c in UNIT)
 
 
-@query("near_dup_review_complete", f"""
-WITH {REGISTRY}, {s_pairs('registry')},
+# Every pair of different entries of a unit is scored: no candidates, no blocks.
+ALL_PAIRS = f"""{s_pairs('registry')},
 e AS (SELECT {', '.join(UNIT)}, tk, ak, ph, min(row_id) AS first, count(*) AS copies FROM blk WHERE tk <> '' GROUP BY ALL),
 c0 AS (SELECT l.first AS i, r.first AS j, l.copies AS copies_1, r.copies AS copies_2, l.ph <> '' AND l.ph = r.ph AS same_phone,
     l.ak <> '' AND l.ak = r.ak AS same_address, {s_tokens('l.tk')} AS tl, {s_tokens('r.tk')} AS tr,
     {s_tokens('l.ak')} AS al, {s_tokens('r.ak')} AS ar
   FROM e l JOIN e r ON {_TOGETHER} AND l.first < r.first),
-c1 AS (SELECT *, {_T1}, {_A1} FROM c0), c2 AS (SELECT *, {_T2}, {_A2} FROM c1), c3 AS (SELECT *, {_T3}, {_A3} FROM c2)
+c1 AS (SELECT *, {_T1}, {_A1} FROM c0), c2 AS (SELECT *, {_T2}, {_A2} FROM c1), c3 AS (SELECT *, {_T3}, {_A3} FROM c2),
+linked AS (SELECT * FROM c3 WHERE t_score >= 94 AND (a_score >= 85 OR same_phone OR same_address))"""
+SAME = "copies > 1 AND (ph <> '' OR ak <> '')"
+
+
+@query("near_dup_review_complete", f"""
+WITH {REGISTRY}, {ALL_PAIRS}
 SELECT i AS first_row_id_1, j AS first_row_id_2, copies_1, copies_2, t_score AS title_score, a_score AS address_score, same_phone
-FROM c3 WHERE t_score >= 94 AND (a_score >= 85 OR same_phone OR same_address)
+FROM linked
 UNION ALL SELECT first, first, copies, copies, 100.0::DOUBLE,
   CASE WHEN len({s_tokens('ak')}) > 0 THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END, ph <> ''
-FROM e WHERE copies > 1 AND (ph <> '' OR ak <> '')""")
+FROM e WHERE {SAME}""")
 def near_dup_review_complete(spark, sf_dir):
     """Every pair of a unit is compared by the SQL; the joins find the same."""
     return D.review_groups(registry(spark, sf_dir), DEMO)
 
 
+@query("duplicate_clusters", f"""
+WITH RECURSIVE {REGISTRY}, {ALL_PAIRS},
+both_ways AS (SELECT i, j FROM linked UNION ALL SELECT j, i FROM linked),
+reach AS (SELECT first AS a, first AS b FROM e UNION SELECT a, j FROM reach JOIN both_ways ON b = i),
+found AS (
+  SELECT e.*, (SELECT count(*) FROM both_ways WHERE i = first) AS n_links, (SELECT min(b) FROM reach WHERE a = first) AS root
+  FROM e WHERE ({SAME}) OR first IN (SELECT i FROM both_ways)),
+sizes AS (SELECT root, sum(copies)::BIGINT AS n FROM found GROUP BY 1)
+SELECT row_id, f.root AS cluster_id, s.n AS cluster_rows, f.first AS entry_id, f.copies AS entry_rows, f.n_links AS entry_links
+FROM blk l JOIN found r ON {_TOGETHER} AND l.tk = r.tk AND l.ak = r.ak AND l.ph = r.ph
+JOIN found f ON f.first = r.first JOIN sizes s ON s.root = f.root""")
+def duplicate_clusters(spark, sf_dir):
+    return D.duplicate_clusters(registry(spark, sf_dir), DEMO)
+
+
+@query("review_totals", f"""
+WITH {REGISTRY}, {ALL_PAIRS},
+ends AS (SELECT i FROM linked UNION SELECT j FROM linked)
+SELECT ((SELECT coalesce(sum(copies_1 * copies_2), 0) FROM linked)
+     + (SELECT coalesce(sum(copies * (copies - 1) // 2), 0) FROM e WHERE {SAME}))::BIGINT AS pairs,
+  (SELECT coalesce(sum(copies), 0) FROM e WHERE ({SAME}) OR first IN (SELECT i FROM ends))::BIGINT AS records""")
+def review_totals(spark, sf_dir):
+    return D.review_totals(registry(spark, sf_dir), DEMO)
+
+
 DECIDED = """decided AS (SELECT row_id_1, row_id_2, CASE WHEN row_id_2 % 3 = 0 THEN 'ELIMINAR'
   WHEN row_id_2 % 3 = 1 THEN 'Corregir' ELSE 'CONSERVAR' END AS decision FROM review)"""
 

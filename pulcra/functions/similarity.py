@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import sys
 
-import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -23,56 +22,34 @@ from pulcra.functions.text import pinned
 # Ship the Arrow kernel with the task: executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_CELLS_PER_CHUNK = 1 << 21
-
 
 def tokens(key: Column) -> Column:
     """Sorted distinct tokens; build once per row, before any pairing."""
     return F.array_sort(F.array_distinct(F.array_remove(F.split(key, " "), "")))
 
 
-def _codes(texts: list[str], pad: int) -> np.ndarray:
-    width = max(1, max(map(len, texts)))
-    codes = np.array(texts, dtype=f"<U{width}").view(np.uint32).reshape(len(texts), width)
-    codes = codes.astype(np.int32)
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    codes[np.arange(width) >= lengths[:, None]] = pad
-    return codes
-
-
-def _lcs_chunk(xs: list[str], ys: list[str]) -> np.ndarray:
-    """Common-subsequence lengths of many pairs at once: one table row per
-    character of x, all pairs together, running maximum along the row."""
-    x, y = _codes(xs, -1), _codes(ys, -2)
-    row = np.zeros((len(xs), y.shape[1] + 1), np.int32)
-    for i in range(x.shape[1]):
-        step = np.maximum(row[:, 1:], row[:, :-1] + (y == x[:, i : i + 1]))
-        np.maximum.accumulate(step, axis=1, out=row[:, 1:])
-    return row[:, -1]
+def common_subsequence(x: str, y: str) -> int:
+    """Length of the longest common subsequence, bit-parallel: a table row is
+    one integer with a bit per letter of x, cleared where the row grows, and
+    the addition's carry moves the growth along; a letter of y is five integer
+    operations, whatever the length of x."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(x):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << len(x)) - 1
+    row = full
+    for c in y:
+        here = row & places.get(c, 0)
+        if here:
+            row = (row + here | row - here) & full
+    return len(x) - row.bit_count()
 
 
 @F.arrow_udf(T.IntegerType())
 def lcs_length(left: pa.Array, right: pa.Array) -> pa.Array:
     """Length of the longest common subsequence; NULL in, NULL out."""
-    xs, ys = left.to_pylist(), right.to_pylist()
-    live = [i for i, (a, b) in enumerate(zip(xs, ys)) if a is not None and b is not None]
-    # The shorter text gives the table's width, so a long one costs steps only.
-    for i in live:
-        if len(xs[i]) < len(ys[i]):
-            xs[i], ys[i] = ys[i], xs[i]
-    live.sort(key=lambda i: len(xs[i]))
-    out: list[int | None] = [None] * len(xs)
-    start = 0
-    while start < len(live):
-        # Pairs are sorted by their longer text, so the last one added bounds both widths.
-        stop, budget = start + 1, _CELLS_PER_CHUNK
-        while stop < len(live) and (stop - start + 1) * (2 * len(xs[live[stop]]) + 1) <= budget:
-            stop += 1
-        part = live[start:stop]
-        for i, n in zip(part, _lcs_chunk([xs[i] for i in part], [ys[i] for i in part])):
-            out[i] = int(n)
-        start = stop
-    return pa.array(out, pa.int32())
+    both = zip(left.to_pylist(), right.to_pylist(), strict=True)
+    return pa.array([None if x is None or y is None else common_subsequence(x, y) for x, y in both], pa.int32())
 
 
 def lcs_length_native(x: Column, y: Column) -> Column:

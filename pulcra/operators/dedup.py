@@ -8,7 +8,10 @@ Shape of the work at scale:
   anti join against the (few) block keys over it, *before* rows are paired;
   :func:`oversized_blocks` and :func:`oversized_copies` report them;
 * :func:`review_groups` is the complete review: equal entries are one row, and
-  candidates come from equi-joins that the match rule implies;
+  candidates come from keys that the match rule implies (:mod:`candidates`);
+* :func:`duplicate_clusters` gives one row per record with its cluster, and
+  :func:`review_totals` counts pairs and records in closed form: copies are
+  never expanded into pairs;
 * what remains is an equi-join on (block, unit), carrying ids and token sets
   built once; the records' columns join the accepted pairs.
 """
@@ -21,8 +24,10 @@ from pyspark.sql import functions as F
 from pulcra.functions import text
 from pulcra.functions.rowhash import row_digest, row_text
 from pulcra.functions.similarity import tokens, with_token_set_score
-from pulcra.profile import PUBLISHED_REVIEW, Profile
-from pulcra.session import written
+from pulcra.operators import candidates
+from pulcra.operators.components import components
+from pulcra.profile import Profile
+from pulcra.session import joined_to_unique, written
 
 REVIEW_COLUMNS = (
     "row_id_1", "row_id_2", "code_1", "code_2", "title_1", "title_2", "address_1",
@@ -175,68 +180,118 @@ def scored_pairs(df: DataFrame, p: Profile) -> DataFrame:
     ).dropDuplicates([f"l_{p.row_id}", f"r_{p.row_id}"])
 
 
-def review_groups(df: DataFrame, p: Profile) -> DataFrame:
-    """D5-D8 without any limit: accepted pairs of *different* entries, and the
-    groups of equal ones.
-
-    Rows with equal unit, title, address and phone keys are one entry, counted
-    on the map side, so 500 copies are one row and never 124,750 pairs. The
-    match rule then gives the candidates as equi-joins inside a unit: a common
-    phone, a common address, or a common word of the title, which every pair
-    above the title threshold has but those that differ in each single word -
-    these meet by the title's first letters. A row is (first_row_id_1,
-    first_row_id_2, copies_1, copies_2, title_score, address_score,
-    same_phone); for a group of equal entries both ids are its first row.
-    """
+def review_entries(df: DataFrame, p: Profile) -> DataFrame:
+    """Entries: rows with equal unit, title, address and phone keys, counted on
+    the map side. ``first`` (the smallest row id) names the entry; t and a are
+    the tokens of title and address; ``same`` tells whether copies match each
+    other by the rule, which needs a phone or an address."""
     keyed = with_keys(df, p).where(F.col("_title") != "")
     entries = keyed.groupBy("_unit", "_title", "_address", "_phone").agg(
         F.min(p.row_id).alias("first"), F.count(F.lit(1)).alias("copies"))
-    entries = written(entries.withColumns({"t": tokens(F.col("_title")), "a": tokens(F.col("_address"))}), "entries")
-    letters = F.substring("_title", 1, PUBLISHED_REVIEW["block_prefix"])
-    keys = F.array_compact(F.concat(
-        F.array(F.when(F.col("_phone") != "", F.concat(F.lit("p"), "_phone")),
-                F.when(F.col("_address") != "", F.concat(F.lit("a"), "_address")), F.concat(F.lit("l"), letters)),
-        F.transform("t", lambda w: F.concat(F.lit("t"), w))))
-    cells = entries.select("_unit", "first", F.explode(keys).alias("_key"))
-    pairs = cells.select("_unit", "_key", F.col("first").alias("i")).join(
-        cells.select("_unit", "_key", F.col("first").alias("j")), ["_unit", "_key"]).where("i < j").select("i", "j").distinct()
+    return written(entries.withColumns({
+        "t": tokens(F.col("_title")), "a": tokens(F.col("_address")),
+        "same": (F.col("copies") > 1) & ((F.col("_phone") != "") | (F.col("_address") != ""))}), "entries")
+
+
+def entry_links(entries: DataFrame, p: Profile) -> DataFrame:
+    """Accepted pairs of different entries, i < j being their first rows."""
+    phone, address = (F.when(F.col(c) != "", F.col(c)) for c in ("_phone", "_address"))
+    found = candidates.pairs(entries.select(F.col("_unit").alias("unit"), F.col("first").alias("id"), "t", "a", "_phone", "_address"),
+                             p.title_at_least, [phone, address], p.address_at_least)
 
     def side(n: int) -> DataFrame:
-        return entries.select(F.col("first").alias("ij"[n - 1]), *[F.col(c).alias(f"{c}_{n}") for c in ("copies", "t", "a", "_phone", "_address")])
+        return entries.select(F.col("first").alias("ij"[n - 1]), *[
+            F.col(c).alias(f"{c}_{n}") for c in ("_unit", "copies", "t", "a", "_phone", "_address")])
 
-    both = with_token_set_score(pairs.join(side(1), "i").join(side(2), "j"), "t_1", "t_2", "title_score", at_least=p.title_at_least)
+    both = found.join(side(1), "i").join(side(2), "j").where("_unit_1 = _unit_2")
+    both = with_token_set_score(both, "t_1", "t_2", "title_score", at_least=p.title_at_least)
     both = with_token_set_score(both, "a_1", "a_2", "address_score")
     same_phone = (F.col("_phone_1") != "") & (F.col("_phone_1") == F.col("_phone_2"))
     same_address = (F.col("_address_1") != "") & (F.col("_address_1") == F.col("_address_2"))
-    accepted = both.withColumn("same_phone", same_phone).where(
-        (F.col("address_score") >= p.address_at_least) | F.col("same_phone") | same_address)
+    return both.withColumn("same_phone", same_phone).where(
+        (F.col("address_score") >= p.address_at_least) | F.col("same_phone") | same_address
+    ).select("i", "j", "copies_1", "copies_2", "title_score", "address_score", "same_phone")
+
+
+def review_groups(df: DataFrame, p: Profile) -> DataFrame:
+    """D5-D8 without any limit: accepted pairs of *different* entries, and the
+    groups of equal ones, so 500 copies are one row and never 124,750 pairs. A
+    row is (first_row_id_1, first_row_id_2, copies_1, copies_2, title_score,
+    address_score, same_phone); for a group of equal entries both ids are its
+    first row."""
+    return _groups(review_entries(df, p), p)
+
+
+def _groups(entries: DataFrame, p: Profile) -> DataFrame:
     names = ("first_row_id_1", "first_row_id_2", "copies_1", "copies_2", "title_score", "address_score", "same_phone")
-    known = F.col("_phone") != ""
-    same = entries.where((F.col("copies") > 1) & (known | (F.col("_address") != ""))).select(
+    same = entries.where("same").select(
         "first", F.col("first").alias("j"), "copies", F.col("copies").alias("c"), F.lit(100.0).alias("s"),
-        F.when(F.size("a") > 0, 100.0).otherwise(0.0).alias("z"), known.alias("k")).toDF(*names)
-    return accepted.select("i", "j", "copies_1", "copies_2", "title_score", "address_score", "same_phone").toDF(*names).unionByName(same)
+        F.when(F.size("a") > 0, 100.0).otherwise(0.0).alias("z"), (F.col("_phone") != "").alias("k")).toDF(*names)
+    return entry_links(entries, p).toDF(*names).unionByName(same)
+
+
+def owned_rows(df: DataFrame, entries: DataFrame, p: Profile) -> DataFrame:
+    """first, row id: the rows of each entry. The rows of a frequent entry meet
+    it in several tasks."""
+    keys = ["_unit", "_title", "_address", "_phone"]
+    rows = with_keys(df, p).where(F.col("_title") != "").select(p.row_id, F.md5(row_text(keys)).alias("_entry"))
+    return joined_to_unique(rows, entries.select(F.md5(row_text(keys)).alias("_entry"), "first"), "_entry", p.row_id).select("first", p.row_id)
+
+
+def duplicate_clusters(df: DataFrame, p: Profile) -> DataFrame:
+    """D12 as clusters: one row per record that the rule links to another one,
+    directly or over others. (row id, cluster_id: the smallest row id reachable,
+    cluster_rows, entry_id: the first of the rows equal to it, entry_rows,
+    entry_links: different entries that its entry is linked to)."""
+    entries = review_entries(df, p)
+    links = written(entry_links(entries, p), "links")
+    ends = links.select(F.explode(F.array("i", "j")).alias("first")).groupBy("first").agg(F.count(F.lit(1)).alias("entry_links"))
+    roots = components(links).select(F.col("node").alias("first"), "root")
+    linked = entries.join(ends, "first", "left").join(roots, "first", "left").where("same or root is not null").select(
+        "_unit", "_title", "_address", "_phone", "first", F.col("copies").alias("entry_rows"),
+        F.coalesce("entry_links", F.lit(0)).alias("entry_links"), F.coalesce("root", "first").alias("cluster_id"))
+    linked = written(linked, "linked")
+    sizes = linked.groupBy("cluster_id").agg(F.sum("entry_rows").alias("cluster_rows"))
+    told = linked.join(sizes, "cluster_id").select(
+        "first", "cluster_id", "cluster_rows", F.col("first").alias("entry_id"), "entry_rows", "entry_links")
+    return joined_to_unique(owned_rows(df, linked, p), told, "first", p.row_id).select(
+        p.row_id, "cluster_id", "cluster_rows", "entry_id", "entry_rows", "entry_links")
+
+
+def review_totals(df: DataFrame, p: Profile) -> DataFrame:
+    """D15 of the complete review in closed form: the pairs of rows the rule
+    accepts, and the records in any of them, without writing out a pair."""
+    entries = review_entries(df, p)
+    links = written(entry_links(entries, p), "links")
+    ends = links.select(F.explode(F.array("i", "j")).alias("first")).distinct().withColumn("linked", F.lit(True))
+    within = entries.join(ends, "first", "left").select(
+        F.when(F.col("same"), F.expr("copies * (copies - 1) div 2")).alias("pairs"),
+        F.when(F.col("same") | F.col("linked"), F.col("copies")).alias("records"))
+    across = links.select((F.col("copies_1") * F.col("copies_2")).alias("pairs"), F.lit(None).cast("long").alias("records"))
+    return within.unionByName(across).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pairs", "records")])
 
 
 def complete_pairs(df: DataFrame, p: Profile) -> DataFrame:
-    """The pairs of :func:`review_groups` as pairs of rows, in the columns of
-    :func:`scored_pairs`: decisions name rows, so copies are written out."""
-    rows = with_keys(df, p).where(F.col("_title") != "").select(
-        p.row_id, row_text(["_unit", "_title", "_address", "_phone"]).alias("_entry"))
-    firsts = rows.groupBy("_entry").agg(F.min(p.row_id).alias("_first"))
-    owned = rows.join(firsts, "_entry").select("_first", p.row_id)
-    pairs = review_groups(df, p).join(owned.toDF("first_row_id_1", "_i"), "first_row_id_1").join(
-        owned.toDF("first_row_id_2", "_j"), "first_row_id_2").where("first_row_id_1 <> first_row_id_2 or _i < _j")
-    return pairs.select(
-        F.least("_i", "_j").alias(f"l_{p.row_id}"), F.greatest("_i", "_j").alias(f"r_{p.row_id}"),
-        "title_score", "address_score", "same_phone")
+    """The complete review in the columns of :func:`scored_pairs`, between
+    representatives: a linked pair of entries is the pair of their first rows,
+    and each further copy of an entry is paired with its first row. So n equal
+    rows give n - 1 pairs, and :func:`apply_decisions` can still drop them all."""
+    entries = review_entries(df, p)
+    owned = owned_rows(df, entries.where("same"), p).where(F.col("first") != F.col(p.row_id)).toDF("i", "j")
+    scores = entries.select(
+        F.col("first").alias("i"), F.lit(100.0).alias("title_score"), F.when(F.size("a") > 0, 100.0).otherwise(0.0).alias("address_score"),
+        (F.col("_phone") != "").alias("same_phone"))
+    copies = joined_to_unique(owned, scores, "i", "j")
+    links = entry_links(entries, p).select("i", "j", "title_score", "address_score", "same_phone")
+    return links.unionByName(copies.select(*links.columns)).withColumnsRenamed({"i": f"l_{p.row_id}", "j": f"r_{p.row_id}"})
 
 
 def near_duplicates(df: DataFrame, p: Profile) -> DataFrame:
     """The review table, one row per accepted pair. Order it by
     (row_id_1, row_id_2) where it is shown or written. What is shown of the
     records joins the accepted pairs, which are few, by the row id. Blocks are
-    used only by a profile that sets a prefix or a limit."""
+    used only by a profile that sets a prefix or a limit; without them pairs
+    are those of :func:`complete_pairs`."""
     blocked = any(v is not None for v in (p.block_prefix, p.title_block_limit, p.phone_block_limit))
     pairs = scored_pairs(df, p) if blocked else complete_pairs(df, p)
     for side in ("l", "r"):

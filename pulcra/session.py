@@ -52,3 +52,18 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Hint a broadcast only after measuring the side; a larger side is left
     to a shuffled join, which adaptive execution splits when keys are hot."""
     return F.broadcast(df) if is_small(df) else df
+
+
+# Tasks that the rows of one frequent key are dealt over.
+SALTS = 16
+
+
+def joined_to_unique(rows: DataFrame, unique: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``unique`` (one row per ``key``). A small ``unique`` is
+    broadcast; a larger one is repeated per salt, and rows are salted by the
+    column ``spread``, so a key that a third of all rows share is met in SALTS
+    tasks."""
+    if is_small(unique):
+        return rows.join(F.broadcast(unique), key, how)
+    salted = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
+    return rows.withColumn("_salt", F.pmod(F.hash(spread), F.lit(SALTS))).join(salted, [key, "_salt"], how).drop("_salt")

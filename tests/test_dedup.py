@@ -1,10 +1,12 @@
 import random
+import time
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from pulcra.functions.similarity import tokens, with_token_set_score
+from pulcra.functions.similarity import common_subsequence, tokens, with_token_set_score
+from pulcra.operators import candidates
 from pulcra.operators import dedup as D
 from pulcra.profile import PUBLISHED_REVIEW
 from pulcra.profiles.schools import SCHOOLS
@@ -74,6 +76,30 @@ def test_scores_against_plain_python_and_threshold(spark):
     assert scores(spark, pairs, at_least=85.0) == pytest.approx(reached)
 
 
+def table_lcs(x, y):
+    row = [0] * (len(y) + 1)
+    for ch in x:
+        new = [0]
+        for j, other in enumerate(y):
+            new.append(row[j] + 1 if ch == other else max(row[j + 1], new[-1]))
+        row = new
+    return row[-1]
+
+
+def test_bit_parallel_subsequence_equals_the_table():
+    rng = random.Random(2)
+    for letters in ("AB", "ABCDEFGH 12", "AÑ😀"):
+        for _ in range(200):
+            x, y = ("".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 5, 63, 64, 65, 130]))) for _ in range(2))
+            assert common_subsequence(x, y) == table_lcs(x, y)
+    x = "".join(rng.choice("ABCDEFGHIJ ") for _ in range(20000))
+    y = "".join(rng.choice("ABCDEFGHIJ ") for _ in range(20000))
+    started = time.perf_counter()
+    assert common_subsequence(x, x[:5000] + x[5100:]) == 19900
+    assert 5000 < common_subsequence(x, y) < 20000
+    assert time.perf_counter() - started < 1
+
+
 def test_block_limit_counts_rows_before_pruning(spark):
     rows = []
     for size in (1, 2, 80, 81):
@@ -154,10 +180,96 @@ def test_default_review_against_all_pairs(spark):
             near = plain_score(da, db) >= 85 or (ta and ta == tb) or (da and da == db)
             if sa == sb and plain_score(na, nb) >= 94 and near:
                 expected.add((i, j))
-    got = [(r.row_id_1, r.row_id_2) for r in D.near_duplicates(clean_table(spark, rows), SCHOOLS).collect()]
-    assert len(got) == len(set(got)) and set(got) == expected
-    blocks = D.scored_pairs(clean_table(spark, rows), SCHOOLS).count()
+    df = clean_table(spark, rows)
+    entry = [tuple(v or "" for v in r.values()) for r in rows]
+    first = {e: i for i, e in reversed(list(enumerate(entry)))}
+    # Between representatives: first rows of different entries, and each copy with its first row.
+    shown = {(i, j) if entry[i] == entry[j] else tuple(sorted((first[entry[i]], first[entry[j]])))
+             for i, j in expected if entry[i] != entry[j] or first[entry[i]] == i}
+    got = [(r.row_id_1, r.row_id_2) for r in D.near_duplicates(df, SCHOOLS).collect()]
+    assert len(got) == len(set(got)) and set(got) == shown
+    blocks = D.scored_pairs(df, SCHOOLS).count()
     assert 0 < blocks < len(expected)
+    assert tuple(D.review_totals(df, SCHOOLS).first()) == (len(expected), len({i for pair in expected for i in pair}))
+    assert clusters_of(D.duplicate_clusters(df, SCHOOLS)) == plain_clusters(expected)
+
+
+def plain_clusters(pairs):
+    """row: (smallest row of its cluster, rows of the cluster)."""
+    root: dict = {}
+    for i, j in pairs:
+        a, b = root.setdefault(i, i), root.setdefault(j, j)
+        root = {k: min(a, b) if v in (a, b) else v for k, v in root.items()}
+    return {k: (v, list(root.values()).count(v)) for k, v in root.items()}
+
+
+def clusters_of(df):
+    rows = df.collect()
+    assert len({r.row_id for r in rows}) == len(rows)
+    return {r.row_id: (r.cluster_id, r.cluster_rows) for r in rows}
+
+
+def test_titles_without_a_common_word_or_beginning(spark):
+    titles = ["ABCDEFGHIJKLMNOPQRST UVWXYZABCDEFGHIJKLMN", "ABCDEFGHIJKLMNXPQRST UVWXYZABCDEFGHIJKLMO"]
+    rows = [{"ESTABLECIMIENTO": t, "DIRECCION": f"CALLE LARGA {i + 1} NORTE", "TELEFONO": None} for i, t in enumerate(titles)]
+    assert [(r.row_id_1, r.row_id_2) for r in D.near_duplicates(clean_table(spark, rows), SCHOOLS).collect()] == [(0, 1)]
+
+
+@pytest.mark.parametrize(("crowd", "at_least", "other"), [(64, 94.0, 85.0), (0, 94.0, 85.0), (3, 90.0, 94.0), (2, 80.0, 70.0)])
+def test_candidates_hold_every_pair_of_the_rule(spark, monkeypatch, crowd, at_least, other):
+    """Against all pairs: words with slips, dropped and swapped words, one-letter
+    words, a word that all titles have; keys narrowed always, sometimes, never."""
+    monkeypatch.setattr(candidates, "CROWD", crowd)
+    monkeypatch.setattr(candidates, "TOLD", 5)
+    rng = random.Random(11)
+    letters = "ABCDE"
+
+    def word():
+        return "".join(rng.choice(letters) for _ in range(rng.choice([1, 1, 2, 6, 9, 14])))
+
+    def slip(w):
+        at = rng.randrange(len(w))
+        return w[:at] + rng.choice(["", rng.choice(letters), w[at] + rng.choice(letters)]) + w[at + 1:]
+
+    def near(text):
+        ws = text.split()
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(ws))
+            ws[at] = slip(ws[at]) or "A"
+        if rng.random() < 0.3:
+            ws.append(word())
+        if len(ws) > 1 and rng.random() < 0.2:
+            ws.pop(rng.randrange(len(ws)))
+        rng.shuffle(ws)
+        return " ".join(ws)
+
+    bases = [" ".join(["COLEGIO"] * (k % 2) + [word() for _ in range(rng.randint(1, 6))]) for k in range(12)]
+    bases += ["A B C D E AB", "AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAA", "COLEGIO"]
+    rows = [(i, near(rng.choice(bases)), near(rng.choice(bases[:4])), rng.choice(["1", "2", None, None, None])) for i in range(160)]
+    df = spark.createDataFrame([(i, "u" if i % 2 else "v", a, b, c) for i, a, b, c in rows], "id long, unit string, x string, y string, phone string")
+    df = df.withColumns({"t": tokens(F.col("x")), "a": tokens(F.col("y"))})
+    got = [(r.i, r.j) for r in candidates.pairs(df, at_least, [F.col("phone")], other).collect()]
+    want = {(i, j) for i in range(160) for j in range(i + 2, 160, 2)
+            if plain_score(rows[i][1], rows[j][1]) >= at_least
+            and (plain_score(rows[i][2], rows[j][2]) >= other or rows[i][3] and rows[i][3] == rows[j][3])}
+    assert len(got) == len(set(got)) and want <= set(got) and len(want) > 30
+
+
+def test_clusters_of_many_copies_and_a_word_all_titles_have(spark):
+    copies = [{"ESTABLECIMIENTO": "COLEGIO CENTRAL", "DIRECCION": "3A CALLE 4-55", "TELEFONO": None}] * 500
+    copies += [{"ESTABLECIMIENTO": "CENTRAL COLEGIO", "DIRECCION": "3A CALLE 4-56", "TELEFONO": None}]
+    lone = [{"ESTABLECIMIENTO": f"COLEGIO {chr(65 + k % 26) * 3}{chr(65 + k // 26) * 3}", "DIRECCION": f"{k}{k}{k}", "TELEFONO": None} for k in range(300)]
+    found = D.duplicate_clusters(clean_table(spark, copies + lone), SCHOOLS)
+    assert clusters_of(found) == {i: (0, 501) for i in range(501)}
+    assert {(r.entry_id, r.entry_rows, r.entry_links) for r in found.collect()} == {(0, 500, 1), (500, 1, 1)}
+    assert tuple(D.review_totals(clean_table(spark, copies + lone), SCHOOLS).first()) == (500 * 499 // 2 + 500, 501)
+    assert D.near_duplicates(clean_table(spark, copies + lone), SCHOOLS).count() == 500
+    entries = D.review_entries(clean_table(spark, lone), SCHOOLS)
+    same = [F.when(F.col("_phone") != "", F.col("_phone"))]
+    keyed = entries.select(F.col("_unit").alias("unit"), F.col("first").alias("id"), "t", "a", "_phone")
+    assert candidates.pairs(keyed, 94.0, same, 85.0).count() < 300 * candidates.CROWD / 4  # of 44,850
+    none = clean_table(spark, [{}]).limit(0)
+    assert D.duplicate_clusters(none, SCHOOLS).count() == 0 and tuple(D.review_totals(none, SCHOOLS).first()) == (0, 0)
 
 
 def test_decisions(spark):
