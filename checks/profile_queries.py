@@ -142,6 +142,26 @@ def catalog_flags(spark, sf_dir):
         "row_id", "parent_known", "pair_known")
 
 
+# Every order with its customer as a place; half of them under one parent.
+VISITS = """visits AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'BUILDING' WHEN o_orderkey % 11 = 1 THEN 'nowhere'
+  WHEN o_orderkey % 13 = 1 THEN NULL ELSE lower(c_mktsegment) END AS parent,
+  CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE c_name END AS child
+  FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey)"""
+PLACES = "SELECT c_mktsegment AS parent, c_name AS child FROM {customer} WHERE c_custkey % 3 <> 0 AND c_mktsegment <> 'FURNITURE'"
+
+
+@query("catalog_flags_large", f"""
+WITH {VISITS.format(orders='orders', customer='customer')}, p AS ({PLACES.format(customer='customer')})
+SELECT o_orderkey, coalesce(upper(parent) IN (SELECT parent FROM p), FALSE) AS parent_known,
+  EXISTS (SELECT 1 FROM p WHERE p.parent = upper(v.parent) AND p.child = v.child) AS pair_known FROM visits v""")
+def catalog_flags_large(spark, sf_dir):
+    """J2, P7, P8 with a catalogue that grows with the data and is not broadcast."""
+    tables = {n: table(spark, sf_dir, n) for n in ("orders", "customer")}
+    visits = spark.sql(f"WITH {VISITS} SELECT * FROM visits", **tables)
+    places = spark.sql(PLACES, customer=tables["customer"])
+    return C.flag_places(visits, "parent", "child", places, small=False).select("o_orderkey", "parent_known", "pair_known")
+
+
 @query("catalog_outside_frequency", f"""
 WITH {REGISTRY}, {CATALOGUE}
 SELECT child, count(*) AS n FROM registry WHERE NOT regexp_full_match(parent, '\\s*')
@@ -180,8 +200,18 @@ def code_lookup_rejects(spark, sf_dir):
         [("1-Urgent ", "01"), ("2-high", "02"), ("3-MEDIUM", "03"), ("5-LOW", "05")],
         "name string, code string")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    good, bad = C.lookup_codes(orders, "o_orderpriority", codes, "code")
-    return good.unionByName(bad, allowMissingColumns=True)
+    return C.resolved_codes(orders, "o_orderpriority", codes, "code").drop("known")
+
+
+@query("code_lookup_folded", """
+SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'B 1' WHEN 'MACHINERY' THEN 'M 1' END AS code,
+  c_mktsegment IN ('BUILDING', 'MACHINERY') AS known FROM customer""")
+def code_lookup_folded(spark, sf_dir):
+    """Spaces inside a name fold alike in the table and in the rows."""
+    codes = spark.createDataFrame(
+        [("old  building ", "B 1"), (" Old Machinery", "M 1"), ("OLD\tMACHINERY", "M 2"), ("OLD", "O")], "name string, code string")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("Old "), F.lit(" "), "c_mktsegment").alias("name"))
+    return C.resolved_codes(rows, "name", codes, "code").drop("name")
 
 
 @query("exact_dup_count", f"""

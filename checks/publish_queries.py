@@ -121,14 +121,32 @@ LINE = "concat(CAST(row_id AS STRING), '|', code, '|', coalesce(name, ''))"
 BATCH = 100_000
 
 
+BATCH_LINES = f"WITH {REGISTRY}, lines AS (SELECT row_id, row_id // {BATCH} AS batch, {LINE} AS line FROM registry)"
+
+
+def batch_files(spark, sf_dir) -> str:
+    """One text file for each 100,000 ids, so its content and digest are known."""
+    path = scratch_path(spark, "batches")
+    lines = registry(spark, sf_dir).select("row_id", F.floor(F.col("row_id") / BATCH).alias("batch"), F.expr(LINE).alias("value"))
+    lines.repartition("batch").sortWithinPartitions("batch", "row_id").select("batch", "value").write.partitionBy("batch").text(path)
+    return path
+
+
+@query("file_digests_in_pieces", f"""{BATCH_LINES}
+SELECT 'batch=' || batch AS folder, CAST(sum(octet_length(encode(line)) + 1) AS BIGINT) AS bytes,
+  sha256(string_agg(line || chr(10), '' ORDER BY row_id)) AS sha256 FROM lines GROUP BY batch""")
+def file_digests_in_pieces(spark, sf_dir):
+    """Files above a kilobyte are read in pieces, smaller ones whole."""
+    found = manifest.file_digests(spark, f"{batch_files(spark, sf_dir)}/*/*.txt", 2, whole=1024)
+    return found.select(F.split("file", "/")[0].alias("folder"), "bytes", "sha256")
+
+
 @query("source_manifest", f"""WITH {REGISTRY}, lines AS (SELECT row_id, row_id // {BATCH} AS batch, {LINE} AS line FROM registry)
 SELECT CAST(batch AS VARCHAR) AS query_key, 'ALL' AS level, count(*) AS rows, '2026-01-31' AS extracted,
   'batch=' || batch AS folder, sha256(string_agg(line || chr(10), '' ORDER BY row_id)) AS sha256 FROM lines GROUP BY batch""")
 def source_manifest(spark, sf_dir):
-    """One text file for each 100,000 ids, so its content and digest are known."""
-    path = scratch_path(spark, "batches")
-    lines = registry(spark, sf_dir).select("row_id", F.floor(F.col("row_id") / BATCH).alias("batch"), F.expr(LINE).alias("value"))
-    lines.repartition("batch").sortWithinPartitions("batch", "row_id").select("batch", "value").write.partitionBy("batch").text(path)
+    """S6, S7."""
+    path = batch_files(spark, sf_dir)
     rows = spark.read.text(path).select(
         F.col("batch").cast("string").alias("batch"), manifest.file_name(F.col("_metadata.file_path"), 2).alias("file"))
     digests = manifest.file_digests(spark, f"{path}/*/*.txt", 2)

@@ -203,6 +203,20 @@ def page_rows_by_id(spark, sf_dir):
     return rows_of(pages, "page_id", "html", "<tr>.*?</tr>", {"cell": "<td>([^<]*)</td>"}, within=("table", "result"))[0]
 
 
+# A table in a table's cell, a commented tag, and an empty element of the name.
+NESTED = ("concat('<table><tr><td>before</td></tr></table><TABLE id=\"outer\"><tr><td>', page_id, '</td></tr><tr><td>', "
+          "'<table class=\"inner\"><tr><td>in ', page_id, '</td></tr></table><!-- </table> --><table/></td></tr><tr><td>', url, "
+          "'</td></tr></TABLE><table><tr><td>after</td></tr></table>', html)")
+
+
+@query("page_nested_rows", """SELECT page_id, 0 AS row_no, CAST(page_id AS VARCHAR) AS cell FROM pages
+UNION ALL SELECT page_id, 1, 'in ' || page_id FROM pages UNION ALL SELECT page_id, 2, url FROM pages""")
+def page_nested_rows(spark, sf_dir):
+    """All rows of an element that holds one of its own name."""
+    pages = table(spark, sf_dir, "pages").withColumn("html", F.expr(NESTED))
+    return rows_of(pages, "page_id", "html", "<td>[^<]*</td>", {"cell": "<td>([^<]*)</td>"}, within=("table", "outer"))[0]
+
+
 ROW = '<li><a href="[^"]*">[^<]*</a></li>'
 
 

@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 
 from pulcra.functions import text
 from pulcra.functions.predicates import is_nonblank
-from pulcra.session import broadcast_if_small, is_small
+from pulcra.session import broadcast_if_small, is_small, joined_to_unique
+
+
+def _hinted(side: DataFrame, plain: DataFrame) -> DataFrame:
+    """Broadcast ``side`` if ``plain``, which it only shrinks, is small: what is
+    measured is a scan that stops early, never a shuffle."""
+    return F.broadcast(side) if is_small(plain) else side
 
 
 def map_column(df: DataFrame, column: str, mapping: DataFrame, out: str | None = None) -> DataFrame:
     """Replace by a (from, to) table; unmapped keys keep themselves."""
     source, target = mapping.columns[:2]
-    lookup = broadcast_if_small(
-        mapping.select(F.col(source).alias("__from"), F.col(target).alias("__to"))
-        .dropDuplicates(["__from"])
-    )
+    plain = mapping.select(F.col(source).alias("__from"), F.col(target).alias("__to"))
+    lookup = _hinted(plain.dropDuplicates(["__from"]), plain)
     keyed = df.withColumn("__key", text.clean_text(F.col(column), ascii_only=True))
     joined = keyed.join(lookup, keyed["__key"] == lookup["__from"], "left")
     return joined.withColumn(out or column, F.coalesce("__to", "__key")).drop(
@@ -40,31 +44,42 @@ def catalogue_keys(catalogue: DataFrame) -> DataFrame:
 
 def flag_places(
     df: DataFrame, parent: str, child: str, catalogue: DataFrame,
-    parent_flag: str = "parent_known", pair_flag: str = "pair_known",
+    parent_flag: str = "parent_known", pair_flag: str = "pair_known", small: bool | None = None,
 ) -> DataFrame:
     """P7/P8 as flag columns: is the parent known, is the pair known. NULL
-    parents or children are never known. Expects NFKC input."""
-    # Folding and distinct only shrink the catalogue, so its own size is a bound.
-    hint = F.broadcast if is_small(catalogue.select(*catalogue.columns[:2])) else (lambda side: side)
+    parents or children are never known. Expects NFKC input.
+
+    ``small`` (measured by default) broadcasts the catalogue. A large one never
+    meets the rows: it meets their distinct pairs, counted out on the map side,
+    so a parent that half of all rows have is a few pairs; the pairs with their
+    flags then join the rows once, broadcast or dealt over salts."""
     keys = catalogue_keys(catalogue)
-    pairs = hint(keys.withColumn("__pair", F.lit(True)))
-    parents = hint(
-        keys.select(F.col("__parent_key").alias("__p")).distinct().withColumn("__known", F.lit(True))
-    )
     keyed = df.withColumns({
         "__pk": F.when(F.col(parent).isNotNull(), text.place_key(F.col(parent))),
         "__ck": F.when(F.col(child).isNotNull(), text.place_key(F.col(child))),
     })
-    joined = keyed.join(parents, keyed["__pk"] == parents["__p"], "left")
-    joined = joined.join(
-        pairs,
-        (joined["__pk"] == pairs["__parent_key"]) & (joined["__ck"] == pairs["__child_key"]),
-        "left",
-    )
+    # Folding and distinct only shrink the catalogue, so its own size is a bound.
+    if is_small(catalogue.select(*catalogue.columns[:2])) if small is None else small:
+        pairs = F.broadcast(keys.withColumn("__pair", F.lit(True)))
+        parents = F.broadcast(keys.select(F.col("__parent_key").alias("__p")).distinct().withColumn("__known", F.lit(True)))
+        joined = keyed.join(parents, keyed["__pk"] == parents["__p"], "left")
+        joined = joined.join(
+            pairs,
+            (joined["__pk"] == pairs["__parent_key"]) & (joined["__ck"] == pairs["__child_key"]),
+            "left",
+        )
+    else:
+        seen = keyed.select("__pk", "__ck").where("__pk IS NOT NULL").distinct()
+        parents = keys.select(F.col("__parent_key").alias("__pk")).distinct().withColumn("__known", F.lit(True))
+        pairs = keys.toDF("__pk", "__ck").withColumn("__pair", F.lit(True))
+        known = joined_to_unique(seen, parents, "__pk", "__ck").join(pairs.hint("merge"), ["__pk", "__ck"], "left")
+        place = F.struct("__pk", "__ck")
+        flags = known.select(place.alias("__place"), "__known", "__pair")
+        joined = joined_to_unique(keyed.withColumn("__place", place), flags, "__place", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), "left")
     return joined.withColumns({
         parent_flag: F.coalesce("__known", F.lit(False)),
         pair_flag: F.coalesce("__pair", F.lit(False)),
-    }).drop("__pk", "__ck", "__p", "__known", "__parent_key", "__child_key", "__pair")
+    }).drop("__pk", "__ck", "__p", "__known", "__parent_key", "__child_key", "__pair", "__place")
 
 
 def coverage(observed: DataFrame, expected: DataFrame, key: str) -> DataFrame:
@@ -91,24 +106,27 @@ def map_hits(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     return seen.join(broadcast_if_small(keys), "k", "left_semi").agg(F.count("k").alias("hits"))
 
 
+def resolved_codes(df: DataFrame, column: str, codes: DataFrame, out: str, known: str = "known") -> DataFrame:
+    """Every row with the code of its name, and whether it has one. Names
+    of both sides are folded alike (spaces collapsed, upper case); rows are read
+    once. Of codes that share a folded name the smallest counts."""
+    name, code = codes.columns[:2]
+    plain = codes.select(F.col(name).alias("__name"), F.col(code).alias(out))
+    folded = plain.groupBy(F.upper(text.collapse(F.col("__name"))).alias("__name")).agg(
+        F.min(out).alias(out), F.lit(True).alias(known))
+    keyed = df.withColumn("__key", F.upper(text.collapse(F.col(column))))
+    table = _hinted(folded, plain)
+    joined = keyed.join(table, keyed["__key"] == table["__name"], "left")
+    return joined.withColumn(known, F.coalesce(known, F.lit(False))).drop("__key", "__name")
+
+
 def lookup_codes(
     df: DataFrame, column: str, codes: DataFrame, out: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Resolve names to codes on the trimmed upper-case key.
-
-    Returns (resolved rows, rejects). An unknown key never disappears: it is a
-    row of the second table.
-    """
-    name, code = codes.columns[:2]
-    table = broadcast_if_small(
-        codes.select(F.upper(F.trim(F.col(name))).alias("__name"), F.col(code).alias(out))
-        .dropDuplicates(["__name"])
-    )
-    keyed = df.withColumn("__key", F.upper(text.collapse(F.col(column))))
-    on = keyed["__key"] == table["__name"]
-    resolved = keyed.join(table, on, "inner").drop("__key", "__name")
-    rejects = keyed.join(table, on, "left_anti").drop("__key")
-    return resolved, rejects
+    """S11 as two tables, resolved rows and rejects: an unknown key never
+    disappears. Where both go to one place, :func:`resolved_codes` reads once."""
+    found = resolved_codes(df, column, codes, out, "__known")
+    return found.where("__known").drop("__known"), found.where("NOT __known").drop("__known", out)
 
 
 def outside_catalogue(df: DataFrame, parent: str, child: str, catalogue: DataFrame) -> DataFrame:

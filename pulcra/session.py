@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -58,10 +58,10 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
 SALTS = 16
 
 
-def joined_to_unique(rows: DataFrame, unique: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
+def joined_to_unique(rows: DataFrame, unique: DataFrame, key: str, spread: str | Column, how: str = "inner") -> DataFrame:
     """``rows`` joined to ``unique`` (one row per ``key``). A small ``unique`` is
-    broadcast; a larger one is repeated per salt, and rows are salted by the
-    column ``spread``, so a key that a third of all rows share is met in SALTS
+    broadcast; a larger one is repeated per salt, and rows are salted by
+    ``spread``, which differs between them, so a key that a third of all rows share is met in SALTS
     tasks."""
     if is_small(unique):
         return rows.join(F.broadcast(unique), key, how)

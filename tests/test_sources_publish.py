@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 from pulcra.operators.validation import InvalidTable
 from pulcra.plans import publish as X
 from pulcra.profiles.schools import DEPARTMENT_CODES, SCHOOLS
-from pulcra.operators.catalog import coverage, lookup_codes
+from pulcra import session
+from pulcra.operators.catalog import coverage, flag_places, lookup_codes, resolved_codes
 from pulcra.sources import csv
 from pulcra.sources.blocks import separator_blocks
 from pulcra.sources.manifest import file_digests, source_manifest
+from pulcra.sources.pages import element_by_id
 from pulcra.streaming import clean_stream
 from tests.rows import clean_table, raw_table
 
@@ -49,6 +51,75 @@ def test_manifest(spark, tmp_path):
         ("A", 2, "m.csv", digest), ("B", 1, "m.csv", digest)}
 
 
+def test_digest_of_a_file_above_two_gigabytes(spark, tmp_path):
+    import hashlib
+
+    size = (1 << 31) + 12345
+    with open(tmp_path / "big.bin", "wb") as file:  # sparse: its blocks are not written
+        file.truncate(size - 3)
+        file.seek(size - 3)
+        file.write(b"end")
+    (tmp_path / "a b%20.txt").write_text("small")
+    digest = hashlib.sha256()
+    with open(tmp_path / "big.bin", "rb") as file:
+        while piece := file.read(1 << 24):
+            digest.update(piece)
+    got = {r.file: (r.bytes, r.sha256) for r in file_digests(spark, str(tmp_path / "*")).collect()}
+    assert got["big.bin"] == (size, digest.hexdigest()) and len(got) == 2
+    pieces = {r.file: (r.bytes, r.sha256) for r in file_digests(spark, str(tmp_path / "*.txt"), whole=0).collect()}
+    assert [v for k, v in got.items() if k != "big.bin"] == list(pieces.values()) == [(5, hashlib.sha256(b"small").hexdigest())]
+
+
+def element(spark, html, name="div"):
+    return spark.createDataFrame([(html,)], "h string").select(element_by_id(F.col("h"), name, "x")).first()[0]
+
+
+@pytest.mark.parametrize(("html", "content"), [
+    ('<div id="x">a<div>b<div>c</div></div>d</div>e</div>', "a<div>b<div>c</div></div>d"),
+    ('<div id="y">no</div><DIV class="k" id="x">a<Div/>b</DIV>c', "a<Div/>b"),
+    ('<div id="x">a<!-- <div> --><!-- </div> -->b</div>c', "a<!-- <div> --><!-- </div> -->b"),
+    ('<div id="x">a<divider>b</divider></div>c', "a<divider>b</divider>"),
+    ('<div id="x">\x01a\x02<div>é😀</div>\x01</div>c', "\x01a\x02<div>é😀</div>\x01"),
+    ('<div id="x">never closed<div></div>', ""), ('<div id="x"></div>', ""), ("<p>none</p>", ""), (None, ""),
+    ('<div id="x">' + "<div>" * 2000 + "deep" + "</div>" * 2000 + "</div>", "<div>" * 2000 + "deep" + "</div>" * 2000),
+])
+def test_element_ends_at_the_matching_tag(spark, html, content):
+    assert element(spark, html) == content
+
+
+def test_codes_are_resolved_in_one_scan(spark, tmp_path):
+    spark.createDataFrame([(1, " el  PROGRESO "), (2, "Baja\u00a0 Verapaz"), (3, "x"), (4, None)], "i int, d string").write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    codes = spark.createDataFrame([("El progreso", "02"), ("baja   VERAPAZ", "15")], "name string, code string")
+    found = resolved_codes(df, "d", codes, "code")
+    assert sorted(map(tuple, found.select("i", "code", "known").collect())) == [(1, "02", True), (2, "15", True), (3, None, False), (4, None, False)]
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+    good, bad = lookup_codes(df, "d", codes, "code")
+    assert good.columns == ["i", "d", "code"] and bad.columns == ["i", "d"] and bad.count() == 2
+
+
+def test_a_large_catalogue_with_a_hot_parent(spark):
+    """Half of all rows under one parent: no task of the join has twice the median."""
+    rows = spark.range(64_000).select(
+        "id", F.when(F.col("id") % 2 == 0, "HOT").otherwise(F.concat(F.lit("P"), F.col("id") % 97)).alias("p"),
+        F.when(F.col("id") % 4 == 0, "HOT CHILD").otherwise(F.concat(F.lit("C"), F.col("id") % 500)).alias("c"))
+    places = rows.where("id % 3 = 0").select("p", "c").distinct()
+    want = flag_places(rows, "p", "c", places, small=True).collect()
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    limit = session.BROADCAST_ROWS
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        session.BROADCAST_ROWS = -1  # nothing is small
+        found = flag_places(rows, "p", "c", places)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        session.BROADCAST_ROWS = limit
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sorted(found.collect()) == sorted(want) and "BroadcastHashJoin" not in plan
+    assert max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+
+
 def test_separator_blocks_over_chunk_borders(spark):
     seps = {3, 4, 10, 29}
     df = spark.range(30).withColumnRenamed("id", "pos")
