@@ -7,6 +7,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from pulcra.llm import alignment
 
@@ -22,7 +24,7 @@ def plain(both, text):
     if not text:
         return []
     a, b = both.a.encode(" " + text, add_special_tokens=False).ids, both.b.encode(text)
-    if both.vocab_a.joined(a) != (" " + text).encode() or both.vocab_b.joined(b) != (" " + text).encode():
+    if any(b"".join(v.entries[i] for i in ids) != (" " + text).encode() for v, ids in ((both.vocab_a, a), (both.vocab_b, b))):
         return []
     ends = []
     for ids, vocab in ((a, both.vocab_a), (b, both.vocab_b)):
@@ -35,9 +37,12 @@ def plain(both, text):
     return out
 
 
+PAIR = alignment.Pair(*alignment._files(alignment.FOLDER))
+
+
 @pytest.fixture(scope="module")
 def both():
-    return alignment.Pair(*alignment._files(alignment.FOLDER))
+    return PAIR
 
 
 def test_token_bytes_are_those_of_other_readers(both):
@@ -50,6 +55,20 @@ def test_token_bytes_are_those_of_other_readers(both):
     assert both.b.decode(both.b.encode(text)) == text
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.one_of(st.text(max_size=60), st.text(alphabet="ab'st \t\n\r\xa0é1½.▁-", max_size=60)))
+def test_encoder_gives_the_ids_of_the_file(text):
+    assert PAIR.encode_a(" " + text).tolist() == PAIR.a.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_ranks_agree_on_every_usual_character():
+    usual = [c for c in map(chr, range(0x2100)) if not alignment.UNUSUAL.search(c)]
+    assert PAIR.ranks is not None and len(usual) > 600
+    for c in usual:
+        text = f" {c} a{c}b{c}{c} 1{c}2 .{c}! {c}{c}\n{c}"
+        assert PAIR.encode_a(text).tolist() == PAIR.a.encode(text, add_special_tokens=False).ids, hex(ord(c))
+
+
 @pytest.mark.parametrize("hot", [0, 5, 1 << 16])
 def test_alignment_against_brute_force(spark, both, hot, monkeypatch):
     monkeypatch.setattr(alignment, "BATCH_ROWS", 5)
@@ -88,7 +107,7 @@ def test_groups_and_empty_tables(spark, both):
     rows = alignment.groups(docs.filter("doc_id = 8")).orderBy("start").collect()
     assert [(list(r["a"]), list(r["b"])) for r in rows] == plain(both, ROWS[9][1])
     whole = (" " + ROWS[9][1]).encode()
-    assert all(both.vocab_a.joined(r["a"]) == whole[r["start"]:r["end"]] == both.vocab_b.joined(r["b"]) for r in rows)
+    assert all(both.vocab_a.joined(np.array(r["a"])) == whole[r["start"]:r["end"]] == both.vocab_b.joined(np.array(r["b"])) for r in rows)
     assert alignment.alignment(docs.limit(0)).count() == 0
     assert alignment.alignment(docs.filter("text is null")).first()["groups_sha256"] == ""
     assert os.path.exists(alignment.FOLDER)
