@@ -219,6 +219,63 @@ def publish_csv(spark, sf_dir):
     return csv.read_for_validation(spark, path, columns=OUT)
 
 
+@query("publish_versions", f"""{VALID}, odd AS (SELECT * FROM valid WHERE code NOT LIKE '%4')
+SELECT 'first' AS version, * FROM odd UNION ALL SELECT 'second', * FROM valid UNION ALL SELECT 'left', * FROM valid""")
+def publish_versions(spark, sf_dir):
+    """X2 by pointer: a first version, one that the gate refuses, a second one,
+    and what is left after old versions were dropped."""
+    data, places = valid_rows(spark, sf_dir), catalogue(spark, sf_dir)
+    root = scratch_path(spark, "versions")
+    X.publish_version(data.where("code NOT LIKE '%4'"), DEMO, places, root)
+    try:
+        X.publish_version(data.withColumn("phone", F.lit("1")), DEMO, places, root)
+        raise AssertionError("an invalid table was published")
+    except V.InvalidTable:
+        first = written(X.current_table(spark, root, DEMO).select(F.lit("first").alias("version"), *OUT), "first")
+    done = X.publish_version(data, DEMO, places, root)
+    second = X.current_table(spark, root, DEMO)
+    if len(X.drop_versions(spark, root)) != 2 or X.current_version(spark, root) != done.path.rsplit("/", 1)[1]:
+        raise AssertionError("versions left behind")
+    left = X.current_table(spark, root, DEMO)
+    return first.unionByName(second.withColumn("version", F.lit("second"))).unionByName(left.withColumn("version", F.lit("left")))
+
+
+# What breaks a valid table, in the rows whose code ends in 3, and the errors
+# each check then counts: {mutation: (changed columns, {check: rows in error})}.
+HIT = "code LIKE '%3'"
+BROKEN = {
+    "copies": ({}, {"exact_duplicates": (HIT, 1), "invalid_values": (HIT, 2)}),
+    "spaces": ({"name": "concat(' ', name)"}, {"text_spaces": (f"{HIT} AND name IS NOT NULL", 1)}),
+    "phones": ({"phone": "'123'"}, {"phone_format": (HIT, 1)}),
+    "places": ({"child": "CASE WHEN zone IS NULL THEN 'NOWHERE' ELSE child END"}, {"official_places": (f"{HIT} AND zone IS NULL", 1)}),
+    "schema": ({}, {}),
+    "spelling": ({"segment": "lower(segment)"}, {"invalid_values": (HIT, 1)}),
+    "domain": ({"status": "'GONE'"}, {"invalid_values": (HIT, 1)}),
+}
+FAILURES = " UNION ALL ".join(
+    f"SELECT '{name}' AS mutation, '{check}' AS \"check\", CAST({times} * count(*) AS BIGINT) AS errors FROM valid WHERE {rows}"
+    for name, (_, failed) in BROKEN.items() for check, (rows, times) in failed.items())
+
+
+@query("validation_gate_failures", f"""{VALID} SELECT * FROM ({FAILURES}
+UNION ALL SELECT 'schema', 'schema_and_types', 1
+UNION ALL SELECT 'spelling', 'category_variants', count(*) FROM (
+  SELECT segment FROM valid WHERE {HIT} INTERSECT SELECT segment FROM valid WHERE NOT {HIT})) WHERE errors > 0""")
+def validation_gate_failures(spark, sf_dir):
+    """V12 on tables that must not pass: each mutation with the checks it breaks."""
+    data, places = valid_rows(spark, sf_dir), catalogue(spark, sf_dir)
+    out = None
+    for name, (changed, _) in BROKEN.items():
+        bad = data.withColumns({c: F.when(F.expr(HIT), F.expr(e)).otherwise(F.col(c)) for c, e in changed.items()})
+        if name == "copies":
+            bad = data.unionByName(data.where(HIT))
+        if name == "schema":
+            bad = data.withColumn("extra", F.lit("x"))
+        found = V.gate_failures(bad, DEMO, places).select(F.lit(name).alias("mutation"), "check", "errors")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query("validation_gate", f"{VALID} SELECT count(*) AS rows, 7 AS checks_passed FROM valid")
 def validation_gate(spark, sf_dir):
     """V12 on a table that passes; the gate raises on any other."""

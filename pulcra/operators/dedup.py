@@ -365,13 +365,31 @@ def pair_totals(review: DataFrame) -> DataFrame:
     )
 
 
+def duplicate_groups(df: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """Groups of identical rows: digest, copies and the smallest ``key``. Only
+    digests and keys are shuffled, one row a group and task."""
+    rows = df.select(key, row_digest(columns).alias("_digest"))
+    return rows.groupBy("_digest").agg(F.count(F.lit(1)).alias("copies"), F.min(key).alias("_first")).where("copies > 1")
+
+
 def duplicate_members(df: DataFrame, columns: list[str], key: str) -> DataFrame:
     """Every member of a group of identical rows, with the group's size.
 
-    Group sizes are pre-aggregated by digest; members are found by joining back
-    to the (unique) digests of groups above one, which adaptive execution can
-    split when one group is hot. No window ever holds a whole group.
+    Groups come first, from digests alone; then the rows are fetched by a join
+    with their digests. A small list of groups is broadcast, so no row moves; a
+    larger one meets the rows dealt over salts, so a hot group is many tasks.
+    No window ever holds a whole group.
     """
+    groups = written(duplicate_groups(df, columns, key).drop("_first"), "groups")
+    hashed = df.select(key, *columns, row_digest(columns).alias("_digest"))
+    return joined_to_unique(hashed, groups, "_digest", key).drop("_digest")
+
+
+def first_duplicates(df: DataFrame, columns: list[str], key: str, limit: int) -> DataFrame:
+    """V1: the ``limit`` members of groups of identical rows with the smallest
+    keys (a top-k report). They are in the ``limit`` groups with the smallest
+    first members, so only rows of these are looked at, and none is shuffled but
+    ``limit`` of a task."""
+    groups = duplicate_groups(df, columns, key).orderBy("_first", "_digest").limit(limit).drop("_first")
     hashed = df.select(key, *columns, row_digest(columns).alias("_digest"))
-    groups = hashed.groupBy("_digest").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    return hashed.join(groups, "_digest").drop("_digest")
+    return hashed.join(F.broadcast(groups), "_digest").drop("_digest").orderBy(key).limit(limit)

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pulcra.functions import predicates as P
-from pulcra.functions.rowhash import digest_number
+from pulcra.functions.rowhash import digest_number, row_digest
+from pulcra.functions.text import pinned
 from pulcra.operators.catalog import coverage
 from pulcra.operators.profiling import all_blank
 from pulcra.operators.validation import gate
 from pulcra.profile import Profile
-from pulcra.session import broadcast_if_small
+from pulcra.session import broadcast_if_small, joined_to_unique, written
 from pulcra.sources.csv import read_for_validation, write_csv
 
 _CHUNK = 1 << 20
@@ -25,12 +28,15 @@ def fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row (rows, xor, total) over 60-bit row digests. It ignores
     order and file layout, and as the sum is kept next to the xor, repeated
     rows do not cancel out. Mergeable, so it needs no shuffle of rows."""
-    digests = df.select(digest_number(columns or df.columns).alias("d"))
-    return digests.agg(
-        F.count("d").alias("rows"),
-        F.coalesce(F.bit_xor("d"), F.lit(0)).alias("xor"),
-        F.coalesce(F.sum(F.col("d").cast("decimal(20,0)")), F.lit(0)).cast("string").alias("total"),
-    )
+    return df.select(digest_number(columns or df.columns).alias("d")).agg(*_print_of(F.col("d")))
+
+
+def _print_of(digest: Column) -> list[Column]:
+    return [
+        F.count(digest).alias("rows"),
+        F.coalesce(F.bit_xor(digest), F.lit(0)).alias("xor"),
+        F.coalesce(F.sum(digest.cast("decimal(20,0)")), F.lit(0)).cast("string").alias("total"),
+    ]
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
@@ -38,15 +44,33 @@ def same_rows(a: DataFrame, b: DataFrame) -> bool:
     return a.columns == b.columns and fingerprint(a).first() == fingerprint(b).first()
 
 
-def row_differences(a: DataFrame, b: DataFrame) -> DataFrame:
+BUCKETS = 4096
+
+
+def row_differences(a: DataFrame, b: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """X7, the exact form: rows of only one side with their surplus count.
 
-    One grouped pass over both sides: copies collapse on the map side, so hot
-    rows cost one row per task (``exceptAll`` twice would shuffle twice).
-    """
+    A digest tree of two levels. Rows fall into ``buckets`` by their digest;
+    each side's buckets are summed up (rows, xor and sum of digests, one row a
+    bucket and task) and compared. Only rows of buckets that differ are counted
+    by digest, and only rows whose digests differ are shuffled as rows. Equal
+    tables are told by the first level alone. A side that is costly to derive
+    should be written first: it is read once per level."""
     columns = a.columns
+    number = digest_number(columns)
     tagged = a.select("*", F.lit(1).alias("__n")).unionByName(b.select("*", F.lit(-1).alias("__n")))
-    return tagged.groupBy(*columns).agg(F.sum("__n").alias("surplus")).where("surplus <> 0")
+    bucket = F.pmod(number, F.lit(buckets))
+    sums = tagged.select("__n", number.alias("__d")).groupBy(F.pmod("__d", F.lit(buckets)).alias("__bucket")).agg(
+        F.sum("__n").alias("rows"), F.bit_xor("__d").alias("xor"), F.sum((F.col("__n") * F.col("__d")).cast("decimal(38,0)")).alias("total"))
+    # At most ``buckets`` rows, whatever the tables hold.
+    torn = F.broadcast(written(sums.where("rows <> 0 OR xor <> 0 OR total <> 0").select("__bucket"), "torn"))
+    digest = row_digest(columns).alias("__digest")
+    digests = tagged.select("__n", digest, bucket.alias("__bucket")).join(torn, "__bucket", "left_semi")
+    surplus = written(digests.groupBy("__digest").agg(F.sum("__n").alias("surplus")).where("surplus <> 0"), "surplus")
+    held = tagged.select(*[f"`{c}`" for c in columns], "__n", digest, bucket.alias("__bucket")).join(torn, "__bucket", "left_semi").drop("__bucket")
+    # A row with a surplus is on the side that has more of it.
+    found = joined_to_unique(held, surplus, "__digest", F.xxhash64(F.spark_partition_id())).where("sign(__n) = sign(surplus)")
+    return found.groupBy(*[F.col(f"`{c}`") for c in columns], "__digest", "surplus").agg(F.count(F.lit(1))).select(*[f"`{c}`" for c in columns], "surplus")
 
 
 def prepare(df: DataFrame, p: Profile, catalogue: DataFrame) -> DataFrame:
@@ -92,12 +116,10 @@ def publish(
     try:
         if csv:
             write_csv(final, staging)
-            back = read_for_validation(spark, staging, columns=final.columns)
         else:
             final.write.parquet(staging)
-            back = spark.read.schema(final.schema).parquet(staging)
-        key = [p.code]
-        checks = gate(back.withColumn(p.row_id, digest_number(key)), p, catalogue)
+        back = _version(spark, staging, final.schema, csv)
+        checks = gate(_named(back, p), p, catalogue)
         mark = tuple(fingerprint(back).first())
         if mark != tuple(fingerprint(df.select(*p.clean_columns)).first()):
             raise ValueError("the reloaded table differs from the candidate")
@@ -109,6 +131,105 @@ def publish(
     return Published(path, mark[0], mark, checks)
 
 
+POINTER = "CURRENT"
+
+
+def publish_version(
+    df: DataFrame, p: Profile, catalogue: DataFrame, root: str, *, csv: bool = False
+) -> Published:
+    """X2 for stores that cannot rename folders: the table is written to a
+    folder of its own under ``root`` and checked there; then the one small file
+    CURRENT is replaced, which is what makes the version visible. A reader of
+    :func:`current_table` sees the version before or the one after. Versions
+    that failed, or are no longer current, stay until :func:`drop_versions`.
+
+    The candidate's fingerprint is observed while it is written, so it is
+    derived once; gate and fingerprint of the stored copy decide."""
+    spark = df.sparkSession
+    version = f"v-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{version}"
+    final = df.select(*p.clean_columns).orderBy(F.col(p.code).asc_nulls_first())
+    seen = Observation()
+    # After the sort, whose sampling would count rows twice.
+    observed = final.observe(seen, *_print_of(digest_number(final.columns)))
+    if csv:
+        write_csv(observed, path)
+    else:
+        observed.write.parquet(path)
+    back = _version(spark, path, final.schema, csv)
+    checks = gate(_named(back, p), p, catalogue)
+    mark = tuple(fingerprint(back).first())
+    if mark != tuple(seen.get[c] for c in ("rows", "xor", "total")):
+        raise ValueError("the reloaded table differs from the candidate")
+    _point(spark, root, version)
+    return Published(path, mark[0], mark, checks)
+
+
+def _named(back: DataFrame, p: Profile) -> DataFrame:
+    """A stored table with a row id, which the examples of a failure show;
+    pinned, because every rule would otherwise carry its expression along."""
+    return pinned(back, {p.row_id: digest_number([p.code])})
+
+
+def _version(spark: SparkSession, path: str, schema, csv: bool) -> DataFrame:
+    if csv:
+        # Pinned: the rules would repeat the reader's expressions many times over.
+        back = read_for_validation(spark, path, columns=schema.fieldNames())
+        return pinned(back, {c: F.col(c) for c in back.columns})
+    return spark.read.schema(schema).parquet(path)
+
+
+def _point(spark: SparkSession, root: str, version: str) -> None:
+    """Replace the pointer by one file operation: on a file system a rename over
+    it, on an object store a put, which both show the old file or the new one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(f"{root.rstrip('/')}/{POINTER}")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    in_place = files.getUri().getScheme() in ("s3", "s3a", "gs", "abfs", "abfss", "wasb")
+    written_to = target if in_place else hadoop.Path(f"{root.rstrip('/')}/.{POINTER}-{version}")
+    stream = files.create(written_to, True)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    if not in_place:
+        context = hadoop.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+        options = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+        options[0] = hadoop.Options.Rename.OVERWRITE
+        context.rename(written_to, target, options)
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The name of the folder that is current; None before the first one."""
+    files, target = _file_system(spark, f"{root.rstrip('/')}/{POINTER}")
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def current_table(spark: SparkSession, root: str, p: Profile, *, csv: bool = False) -> DataFrame:
+    """The published table. The version is chosen once, when this is called."""
+    version = current_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"nothing is published under {root}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in p.clean_columns])
+    return _version(spark, f"{root.rstrip('/')}/{version}", schema, csv)
+
+
+def drop_versions(spark: SparkSession, root: str, keep: Sequence[str] = ()) -> list[str]:
+    """Delete all versions but the current one and those to ``keep`` (versions
+    that are being written or read); returns the names of those deleted."""
+    files, folder = _file_system(spark, root)
+    kept = {current_version(spark, root), *keep}
+    names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+    gone = sorted(n for n in names if n.startswith("v-") and n not in kept)
+    for name in gone:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}"), True)
+    return gone
+
+
 def file_number(file: Column | str) -> Column:
     """The number in a part file's name: names sort as text, and a hundred
     thousand files have longer numbers than ninety-nine thousand."""

@@ -272,6 +272,27 @@ def test_clusters_of_many_copies_and_a_word_all_titles_have(spark):
     assert D.duplicate_clusters(none, SCHOOLS).count() == 0 and tuple(D.review_totals(none, SCHOOLS).first()) == (0, 0)
 
 
+def test_first_members_of_groups_of_identical_rows(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice("ABCDEFG") * rng.choice([1, 1, 2, 9]), rng.choice(["x", None])) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, a string, b string").repartition(4)
+    held = {r[1:]: [x[0] for x in rows if x[1:] == r[1:]] for r in rows}
+    members = sorted((i, a, b, len(held[a, b])) for i, a, b in rows if len(held[a, b]) > 1)
+    assert sorted(map(tuple, D.duplicate_members(df, ["a", "b"], "id").collect())) == members
+    for limit in (0, 1, 5, 100):
+        assert [tuple(r) for r in D.first_duplicates(df, ["a", "b"], "id", limit).collect()] == members[:limit]
+
+
+def test_only_digests_and_ids_are_shuffled(spark, tmp_path):
+    spark.range(2000).select("id", F.repeat(F.col("id").cast("string"), 50).alias("wide"), (F.col("id") % 900).alias("k")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).withColumn("wide", F.concat(F.repeat(F.lit("x"), 200), "k"))
+    plan = D.duplicate_members(df, ["wide", "k"], "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    groups = D.duplicate_groups(df, ["wide", "k"], "id")._jdf.queryExecution().executedPlan().toString()
+    below = groups[groups.index("Exchange hashpartitioning(_digest"):].split("\n")[1]
+    assert "wide" not in below.split("functions")[0]
+
+
 def test_decisions(spark):
     df = clean_table(spark, [{}] * 4)
     ledger = spark.createDataFrame(

@@ -164,6 +164,49 @@ def test_publish(spark, places, tmp_path):
     assert {r.violations for r in X.invariants(rows, SCHOOLS, parents, rows=50, path=path).collect()} == {0}
 
 
+@pytest.mark.parametrize("as_csv", [False, True])
+def test_versions_are_switched_by_the_pointer_alone(spark, places, tmp_path, monkeypatch, as_csv):
+    root = str(tmp_path / "root")
+    one, two = clean_table(spark, [{}, {}]), clean_table(spark, [{}, {}, {"DISTRITO": None}])
+    with pytest.raises(FileNotFoundError):
+        X.current_table(spark, root, SCHOOLS)
+    first = X.publish_version(one, SCHOOLS, places, root, csv=as_csv)
+    reader = X.current_table(spark, root, SCHOOLS, csv=as_csv)
+    assert reader.count() == first.rows == 2 and first.path.endswith(X.current_version(spark, root))
+    with pytest.raises(InvalidTable):
+        X.publish_version(clean_table(spark, [{"TELEFONO": "1"}]), SCHOOLS, places, root, csv=as_csv)
+
+    def lost(*_):
+        raise OSError("gone before the switch")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(X, "_point", lost)
+        with pytest.raises(OSError, match="before the switch"):
+            X.publish_version(two, SCHOOLS, places, root, csv=as_csv)
+    assert X.current_table(spark, root, SCHOOLS, csv=as_csv).count() == 2 == reader.count()
+    X.publish_version(two, SCHOOLS, places, root, csv=as_csv)
+    assert X.current_table(spark, root, SCHOOLS, csv=as_csv).count() == 3 and reader.count() == 2
+    keep = first.path.rsplit("/", 1)[1]
+    assert len(X.drop_versions(spark, root, [keep])) == 2 and reader.count() == 2
+    assert X.drop_versions(spark, root) == [keep]
+    assert X.same_rows(X.current_table(spark, root, SCHOOLS, csv=as_csv), two.select(*SCHOOLS.clean_columns))
+    names = {f.name for f in (tmp_path / "root").iterdir()}
+    assert len([n for n in names if n.startswith("v-")]) == 1 and "CURRENT" in names
+
+
+def test_differences_by_digests(spark):
+    rows = [(i % 40, None if i % 7 == 0 else str(i % 5)) for i in range(400)]
+    a = spark.createDataFrame(rows, "k int, v string")
+    b = spark.createDataFrame(rows[:-30] + [(99, "x")] * 3 + rows[:1], "k int, v string")
+    from collections import Counter
+
+    left, right = Counter(rows), Counter(map(tuple, b.collect()))
+    want = {(*r, left[r] - right[r]) for r in left | right if left[r] != right[r]}
+    for buckets in (1, 5, 4096):
+        assert {tuple(r) for r in X.row_differences(a, b, buckets).collect()} == want
+    assert X.row_differences(a, a.repartition(3)).count() == 0 and X.row_differences(a, a.limit(0)).count() == len(set(rows))
+
+
 def test_publish_as_csv_under_a_fixed_name(spark, places, tmp_path):
     df = clean_table(spark, [{}, {"DIRECTOR": 'A "B", C'}, {"DISTRITO": None}]).repartition(2)
     with pytest.raises(ValueError, match="must be called"):
