@@ -5,23 +5,32 @@ and without overlap per kind over the whole text; matches that fail their check
 are dropped. Runs of the patterns are possessive and begin where a run begins,
 so a text of one endless run costs one pass and no deep recursion.
 
-The information-theoretic part treats every found value as a protected entity
-e. Its information content is IC(e) = -log2(df(e) / N); a term t beside it (whole
-words of four letters and more within REACH characters) tells PMI(t, e) =
-log2(N df(t, e) / (df(t) df(e))) of it, df counting all documents. The share
-PMI / IC is the term's disclosure: from GENERALISE on its occurrences beside e
-are generalised to two letters, from REMOVE on removed. SUPPORT documents must
-show the pair, since one document is no evidence. Added spans have the kind
-``term`` and never touch a base span.
+The information-theoretic part protects entities: every found value, and of an
+e-mail address also its local part and its host, which pool the values that share
+them. An entity e in df(e) of N documents has the information content IC(e) =
+-log2(df(e) / N). A term t (a word of four letters and more, outside base spans)
+that is in n documents with e and in df(t) documents at all tells log2(N P / df(e))
+of it, P being the lower end of Wilson's interval (Z) for n of df(t): one document
+says less than many. That, as a share of IC, is the term's disclosure; the highest
+one over the entities of a document counts. From GENERALISE on the term's
+occurrences, wherever they are in the document, are generalised to two letters,
+from REMOVE on removed. So a name that only the documents with an address have is
+protected in them, be it one document. Added spans have the kind ``term`` and
+never touch a base span.
 
 Everything is DataFrame functions. Positions come from marking matches and
 splitting: odd pieces are matches, and lengths add up to code point offsets.
-Spans and their surroundings are stored once; corpus counts are partial sums
-before they are shuffled and joined; df(t) is kept for terms with enough support.
-
-Defined cases: null text is empty; rows that repeat id and text share their
-added spans; a null id is one more id; other columns are left alone; an empty
-table gives an empty result.
+A disclosure of GENERALISE needs df(t) <= df(e)^GENERALISE N^(1 - GENERALISE), so
+occurrences of commoner terms go before anything is paired. Frequent terms (over
+N / 200 documents, so at most 200 times the mean number of different words of a
+document) are looked up by a broadcast, others by a join without a frequent key.
+Entities that occur in the very same documents are one class, so a list of
+addresses makes no product with the words around it; entities of a single document
+need no counting of pairs at all. Counts are partial sums before a shuffle.
+
+Defined cases: null text is empty; repeated rows are documents of their own; a
+null id is one more id; other columns are left alone; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -29,9 +38,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulcra.llm._base import query, stored, table
+from pulcra.llm._base import query, salt_of, salted, stored, table
 
-REACH, SUPPORT, GENERALISE, REMOVE = 80, 3, 0.6, 0.9
+GENERALISE, REMOVE, Z, COMMON = 0.7, 0.9, 1.645, 200
 KINDS = ("email", "ip", "card", "phone", "term")
 MARK, OTHER = "\x01", "\x02"
 WORD = r"\p{L}{4,}"
@@ -83,73 +92,116 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(i, kind) for i, kind in enumerate(PATTERNS)])
 
 
-def _around(text: Column, span: Column) -> Column:
-    """The entity with its surroundings, which begin and end at whole words."""
-    size, begin = F.char_length(text), F.greatest(span["start"] - REACH, F.lit(0))
-    end = F.least(span["end"] + REACH, size)
-    raw = F.substr(text, begin + 1, end - begin)
-    left = F.when(begin > 0, F.regexp_replace(raw, r"^\p{L}+", "")).otherwise(raw)
-    whole = F.when(end < size, F.regexp_replace(left, r"\p{L}+$", "")).otherwise(left)
-    return F.struct(
-        span["kind"].alias("kind"), span["start"].alias("start"), span["end"].alias("end"),
-        F.lower(F.substr(text, span["start"] + 1, span["end"] - span["start"])).alias("value"),
-        (begin + F.char_length(raw) - F.char_length(left)).alias("from"), whole.alias("around"))
+def masked(text: Column) -> Column:
+    """``text`` with its e-mail addresses, the only base spans that hold letters,
+    replaced by as many other characters."""
+    pattern, gate = PATTERNS["email"]
+    pieces = F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK, -1)
+    other = F.transform(pieces, lambda piece, i: F.when(i % 2 == 1, F.repeat(F.lit(OTHER), F.char_length(piece))).otherwise(piece))
+    return F.when(text.rlike(gate), F.array_join(other, "")).otherwise(text)
 
 
 def found_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_id, _row (names id and text of rows with spans), spans with surroundings."""
+    """One row per row of ``docs``: _n (its number), _id, _name (of id and text),
+    _spans with their values, and _masked, the text to look for terms in; the
+    last two are null without a span."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     text = F.when(F.instr(text, MARK) > 0, F.translate(text, MARK, OTHER)).otherwise(text)
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_text")).withColumn("_base", base_spans(F.col("_text")))
     name = F.sha2(F.concat_ws("\n", F.coalesce(F.col("_id").cast("string"), F.lit("null")), "_text"), 256)
-    return rows.select("_id", F.when(F.size("_base") > 0, name).alias("_row"),
-                       F.transform("_base", lambda s: _around(F.col("_text"), s)).alias("_spans"))
-
-
-def occurrences(found: DataFrame) -> DataFrame:
-    """Terms beside entities: _row, kind, value, term, t_start, t_end."""
-    rows = found.filter("_row is not null").select("_row", "_spans", F.explode("_spans").alias("s")).withColumn(
-        "t", F.explode(marked_spans(F.col("s.around"), WORD, lambda _: F.lit(True))))
-    start, end = F.col("s.from") + F.col("t.start"), F.col("s.from") + F.col("t.end")
-    free = ~F.exists("_spans", lambda b: (b["start"] < end) & (b["end"] > start))
-    return rows.filter(free).select(
-        "_row", "s.kind", "s.value", F.lower(F.substr(F.col("s.around"), F.col("t.start") + 1, F.col("t.end") - F.col("t.start"))).alias("term"),
-        start.alias("t_start"), end.alias("t_end"))
-
-
-def disclosures(docs: DataFrame, found: DataFrame, near: DataFrame, text_col: str, support: int = SUPPORT) -> DataFrame:
-    """kind, value, term and disclosure of the pairs with enough support."""
-    both = near.groupBy("kind", "value", "term").agg(F.count_distinct("_row").alias("n_both")).filter(F.col("n_both") >= support)
-    both = stored(both, "pairs")
+    valued = F.transform("_base", lambda s: F.struct(
+        s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
+        F.lower(F.substr(F.col("_text"), s["start"] + 1, s["end"] - s["start"])).alias("value")))
+    has = F.size("_base") > 0
+    return rows.select(F.monotonically_increasing_id().alias("_n"), "_id", F.when(has, name).alias("_name"), valued.alias("_spans"),
+                       F.when(has, masked(F.col("_text"))).alias("_masked"))
+
+
+def entities(found: DataFrame) -> DataFrame:
+    """_n and the different entities of each document with spans."""
+    value = F.col("s.value")
+    parts = F.when(F.col("s.kind") == 0, F.array(
+        F.concat(F.lit("local:"), F.substring_index(value, "@", 1)), F.concat(F.lit("host:"), F.substring_index(value, "@", -1))
+    )).otherwise(F.array().cast("array<string>"))
+    whole = F.array(F.concat("s.kind", F.lit(":"), value))
+    rows = found.select("_n", F.explode("_spans").alias("s"))
+    return rows.select("_n", F.explode(F.concat(whole, parts)).alias("entity")).distinct()
+
+
+def classes(found: DataFrame) -> DataFrame:
+    """_n, the classes (df, sign) of its entities, and the highest df. A class
+    is all entities of the very same documents: their number and the sum of
+    their hashes name it."""
+    held = entities(found)
+    sign = F.sum(F.xxhash64("_n").cast("decimal(38,0)")).alias("sign")
+    known = held.groupBy("entity").agg(F.count(F.lit(1)).alias("df"), sign)
+    rows = held.withColumn("_salt", salt_of(F.col("_n"))).join(salted(known), ["entity", "_salt"])
+    return rows.groupBy("_n").agg(F.collect_set(F.struct("df", "sign")).alias("classes"), F.max("df").alias("top"))
+
+
+def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """term and df: in how many rows of ``docs`` each term is. Texts are masked
+    like those that terms are looked up in."""
     words = docs.select(F.explode(F.array_distinct(F.transform(
-        F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0), lambda w: F.lower(w)))).alias("term"))
-    # Counted first: the join then sees one row per word of the corpus, not per use.
-    terms = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    entities = found.filter("_row is not null").select(F.explode(F.array_distinct(F.transform(
-        "_spans", lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"))))).alias("e")).groupBy("e.kind", "e.value").agg(
-        F.count(F.lit(1)).alias("n_entity"))
-    n = F.lit(float(found.count()))
-    counted = both.join(terms, "term").join(entities, ["kind", "value"])
-    told = F.log2(n * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    return counted.select("kind", "value", "term", F.try_divide(told, F.log2(n / F.col("n_entity"))).alias("disclosure"))
-
-
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT) -> DataFrame:
-    """One row per row of ``docs``: id, _row, and spans as
+        F.regexp_extract_all(masked(F.col(text_col)), F.lit(WORD), 0), lambda w: F.lower(w)))).alias("term"))
+    return words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def bound(df: Column, n: float) -> Column:
+    """The highest df of a term that can disclose an entity of ``df`` documents."""
+    return F.pow(df, F.lit(GENERALISE)) * F.lit(n ** (1 - GENERALISE) * 1.000001)
+
+
+def disclosure(both: Column, term: Column, entity: Column, n: float) -> Column:
+    """Of a term in ``both`` of an entity's documents and in ``term`` of all."""
+    p, z = both / term, Z * Z
+    low = (p + z / (2 * term) - Z * F.sqrt(p * (1 - p) / term + z / (4 * term * term))) / (1 + z / term)
+    return F.try_divide(F.log2(n * low / entity), F.log2(n / entity))
+
+
+def occurrences(docs: DataFrame, found: DataFrame, held: DataFrame, text_col: str, n: float) -> DataFrame:
+    """_n, term, start, end, df: where terms occur that may disclose an entity
+    of their document."""
+    counts = stored(word_counts(docs, text_col), "terms")
+    rows = found.filter("_masked is not null").select("_n", "_masked").join(held.select("_n", "top"), "_n")
+    rows = rows.select("_n", "_masked", bound(F.col("top"), n).alias("most"),
+                       F.explode(marked_spans(F.col("_masked"), WORD, lambda _: F.lit(True))).alias("s")).select(
+        "_n", "most", "s.start", "s.end", F.lower(F.substr("_masked", F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))).alias("term"))
+    common = F.col("df") > max(n / COMMON, 16)
+    first = rows.join(F.broadcast(counts.filter(common)), "term", "left").filter("df is null or df <= most")
+    rare = first.filter("df is null").drop("df").join(counts.filter(~common).hint("merge"), "term").filter("df <= most")
+    return rare.unionByName(first.filter("df is not null")).drop("most")
+
+
+def telling(near: DataFrame, held: DataFrame, n: float) -> DataFrame:
+    """_n, term, disclosure (the highest, GENERALISE at least)."""
+    pairs = near.select("_n", "term", F.col("df").alias("term_df")).distinct().join(held.select("_n", "classes"), "_n").select(
+        "_n", "term", "term_df", F.explode("classes").alias("c")).select("_n", "term", "term_df", "c.df", "c.sign").filter(
+        F.col("term_df") <= bound(F.col("df"), n))
+    alone = pairs.filter("df = 1").select("_n", "term", disclosure(F.lit(1.0), F.col("term_df"), F.col("df"), n).alias("disclosure"))
+    shared = pairs.filter("df > 1")
+    both = shared.groupBy("df", "sign", "term", "term_df").agg(F.count(F.lit(1)).alias("both")).select(
+        "df", "sign", "term", disclosure(F.col("both"), F.col("term_df"), F.col("df"), n).alias("disclosure")).filter(
+        F.col("disclosure") >= GENERALISE)
+    met = shared.withColumn("_salt", salt_of(F.col("_n"))).join(salted(both), ["df", "sign", "term", "_salt"]).select("_n", "term", "disclosure")
+    return alone.filter(F.col("disclosure") >= GENERALISE).unionByName(met).groupBy("_n", "term").agg(F.max("disclosure").alias("disclosure"))
+
+
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, _name, and spans as
     array<struct<kind, start, end, action>> by kind and start."""
     found = stored(found_spans(docs, id_col, text_col), "spans")
-    near = stored(occurrences(found), "terms")
-    telling = disclosures(docs, found, near, text_col, support).filter(F.col("disclosure") >= GENERALISE)
+    n = float(found.count())
+    held = stored(classes(found), "classes")
+    near = stored(occurrences(docs, found, held, text_col, n), "occurrences")
+    told = telling(near, held, n)
     action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
-    added = near.join(telling, ["kind", "value", "term"]).groupBy("_row", "t_start", "t_end").agg(F.max(action).alias("action"))
-    added = added.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct(
-        F.lit(4).alias("kind"), F.col("t_start").alias("start"), F.col("t_end").alias("end"), "action"))).alias("_added"))
+    added = near.join(told, ["_n", "term"]).groupBy("_n").agg(F.sort_array(F.collect_list(F.struct(
+        F.lit(4).alias("kind"), "start", "end", action.alias("action")))).alias("_added"))
     base = F.transform("_spans", lambda s: F.struct(s["kind"], s["start"], s["end"], F.lit("mask").alias("action")))
     kind = "array<struct<kind:int,start:int,end:int,action:string>>"
-    # Rows without spans name themselves, so that they do not meet in one task.
-    return found.withColumn("_key", F.coalesce("_row", F.concat(F.lit("-"), F.xxhash64("_id").cast("string")))).join(
-        added.withColumnRenamed("_row", "_key"), "_key", "left").select(
-        F.col("_id").alias(id_col), "_row",
+    return found.join(added, "_n", "left").select(
+        F.col("_id").alias(id_col), "_name",
         F.concat(base.cast(kind), F.coalesce(F.col("_added").cast(kind), F.array().cast(kind))).alias("spans"))
 
 
@@ -172,13 +224,13 @@ def sanitised(text: Column, found: Column) -> Column:
     return F.concat(done["out"], F.substr(text, done["at"] + 1))
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT) -> DataFrame:
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the text sanitised; texts without a span stay as they are."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     name = F.sha2(F.concat_ws("\n", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.translate(text, MARK, OTHER)), 256)
-    found = spans(docs, id_col, text_col, support).filter("_row is not null").select("_row", F.col("spans").alias("_found")).dropDuplicates(["_row"])
+    found = spans(docs, id_col, text_col).filter("_name is not null").select("_name", F.col("spans").alias("_found")).dropDuplicates(["_name"])
     new = F.when(F.col("_found").isNotNull(), sanitised(F.col(text_col), F.col("_found"))).otherwise(F.col(text_col))
-    return docs.withColumn("_row", name).join(found, "_row", "left").select(
+    return docs.withColumn("_name", name).join(found, "_name", "left").select(
         *[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -1,10 +1,13 @@
 """Operators that look at one text at a time, against plain Python."""
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 
 from pulcra.llm import chat, decontam, licenses, pii, quality, toxicity
 
@@ -55,6 +58,70 @@ def test_pii_terms_that_tell(spark):
     assert texts[10] == far[0][1]
 
 
+def plain_terms(rows):
+    """Term spans of each row, straight from the definitions."""
+    words, held = [], []
+    for _, t in rows:
+        t = t or ""
+        mails = [(m.start(), m.end()) for m in EMAIL.finditer(t)]
+        words.append([(m.start(), m.end(), m[0].lower()) for m in regex.finditer(r"\p{L}{4,}", t)
+                      if not any(a < m.end() and m.start() < b for a, b in mails)])
+        units = set()
+        for kind, a, b in (x.split(":") for x in base(t).split(",") if x):
+            value = t[int(a):int(b)].lower()
+            units.add((kind, value))
+            if kind == "email":
+                units |= {("local", value.split("@")[0]), ("host", value.split("@")[1])}
+        held.append(units)
+    n = len(rows)
+    have = [{w for *_, w in ws} for ws in words]
+    df = Counter(w for ws in have for w in ws)
+    de = Counter(u for us in held for u in us)
+    both = Counter((w, u) for ws, us in zip(have, held, strict=True) for w in ws for u in us)
+
+    def told(w, u):
+        if de[u] == n:
+            return -1
+        m, z = df[w], pii.Z ** 2
+        p = both[w, u] / m
+        low = (p + z / (2 * m) - pii.Z * math.sqrt(p * (1 - p) / m + z / (4 * m * m))) / (1 + z / m)
+        return math.log2(n * low / de[u]) / math.log2(n / de[u])
+
+    return [",".join(f"term:{a}:{b}" for a, b, w in ws if any(told(w, u) >= pii.GENERALISE for u in us))
+            for ws, us in zip(words, held, strict=True)]
+
+
+def test_pii_terms_against_brute_force(spark):
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdeé"), int(rng.integers(3, 7)))) for _ in range(150)]
+    mails = [f"{a}@{h}" for a in ("anna.b", "carl", "dora") for h in ("one.org", "two.org", "three.net")]
+    rows = []
+    for k in range(150):
+        text = [words[int(150 * rng.random() ** 2)] for _ in range(int(rng.integers(5, 40)))]
+        for _ in range(int(rng.integers(0, 3))):
+            text.insert(int(rng.integers(0, len(text))), str(rng.choice([*mails, "4111111111111111", "10.0.0.7", f"u{k}@one.org"])))
+        rows.append((k if k % 9 else None, " ".join(text)))
+    rows += [(200, rows[3][1]), (200, rows[3][1]), (300, None)]
+    # An address that one document holds protects a name at its other end.
+    rows.append((400, "Zebrafink " + "the way " * 3000 + "zebrafink lone@solo.org"))
+    rows.append((500, " ".join(f"m{i}@list.org" for i in range(300)) + " uniqueword " + " ".join(words)))
+    want = plain_terms(rows)
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, term int").repartition(5)
+    got = pii.digest(pii.spans(docs)).collect()
+    base_of = lambda t: base(t or "")
+    whole = sorted((str(i), ",".join(x for x in (base_of(t), w) if x)) for (i, t), w in zip(rows, want, strict=True))
+    assert sorted((str(r["doc_id"]), r["spans"]) for r in got) == whole
+    spans = dict(zip([i for i, _ in rows], want, strict=True))
+    assert spans[400].startswith("term:0:9,") and spans[400].count(",") == 1 and "term" in spans[500]
+    assert sum(bool(w) for w in want) > 30 and any(base_of(t) and not w for (_, t), w in zip(rows, want, strict=True))
+
+
+def test_pii_masks_addresses_before_words(spark):
+    rows = spark.createDataFrame([(1, "éabcd@x.org.zwerg wort"), (2, "nichts hier")], "doc_id long, text string")
+    found = {r["_id"]: r["_masked"] for r in pii.found_spans(rows, "doc_id", "text").collect()}
+    assert found == {1: "é" + "\x02" * len("abcd@x.org.zwerg") + " wort", 2: None}
+
+
 CHATS = [
     (1, 0, "system", "s"), (1, 1, "user", "<|x <\\| <\\\\| <"), (1, 2, "assistant", "|> \\<|"), (2, 1, "assistant", "early"),
     (2, 0, None, None), (3, 0, "us\ner\\n<|", "a"), (None, 0, "user", ""), (None, 1, "assistant", "é😀"), (4, 0, "user", "u"), (4, 0, "user", "u"),
