@@ -13,10 +13,14 @@ Content-Length, in file order, so records come back exactly. Archives are to be
 gzip files, of any size and record count, with one member or one per record:
 such files are read by one task each, as glueing needs.
 
-Assembly: request and metadata records join the response they are concurrent
-to - named by either side, or over one more record of the same capture - and
-one nested row per capture results. Records whose response is missing form a
-row of their own with a null response. A capture's row holds all its records.
+Assembly: concurrent-to identifiers link records, whichever side names them. A
+request or metadata record that a link ties to a response belongs to it; the
+others form connected components over their links, of any length, and a component
+belongs to the response that one of its records is tied to (the smallest id, if
+several are). One nested row per capture results. A component without a response
+forms a row of its own with a null response, named by its smallest id. A
+capture's row holds all its records. Records cut off by the end of their file are
+in no capture; ``damaged`` lists them.
 
 Defined cases: null html is an empty payload; null urls leave the target away;
 line breaks in urls are percent-encoded; of rows that repeat page_id and
@@ -36,6 +40,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from pulcra.llm._base import query, salt_of, salted, stored, table
+from pulcra.operators.components import components
 from pulcra.session import scratch_path
 
 VERSION, CRLF, MIN_REVISIT = "WARC/1.1\r\n", "\r\n", 1000
@@ -43,7 +48,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PRIMARY = ("response", "revisit", "resource")
 RECORD = (
     "record_id string, type string, concurrent_to array<string>, refers_to string, target_uri string, date string,"
-    " header_digest string, payload_bytes long, payload_sha1 string, fields string, complete boolean, payload binary")
+    " header_digest string, payload_bytes long, payload_sha1 string, fields string, complete boolean, payload binary, file string")
 
 
 def record_id(*parts: Column) -> Column:
@@ -106,9 +111,8 @@ def write_archive(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z
     rows.select(F.explode(F.array(request, main, metadata)).alias("value")).write.option("lineSep", CRLF).option("compression", "gzip").text(path)
 
 
-def _parse(piece: bytes, payload: bool) -> tuple | None:
-    """One record from the bytes after its version line; None if more of it is
-    needed."""
+def _head(piece: bytes) -> tuple[dict[str, list[str]], bytes] | None:
+    """Header fields of a record, and what follows them; None if they go on."""
     head, end, rest = piece.partition(b"\r\n\r\n")
     if not end:
         return None
@@ -117,10 +121,21 @@ def _parse(piece: bytes, payload: bool) -> tuple | None:
         name, colon, value = line.partition(":")
         if colon:
             names.setdefault(name.strip().lower(), []).append(value.strip())
+    return names, rest
+
+
+def _bytes_of(piece: bytes) -> int:
+    """Bytes from the version line to the end of the record's block; 0 if its
+    header goes on after ``piece``."""
+    found = _head(piece)
+    return len(piece) - len(found[1]) + int(found[0].get("content-length", ["0"])[0] or 0) if found else 0
+
+
+def _parse(piece: bytes, payload: bool) -> tuple:
+    """One record from the bytes after its version line."""
+    names, rest = _head(piece)
     first = lambda n: names.get(n, [None])[0]
     size = int(first("content-length") or 0)
-    if len(rest) < size:
-        return None
     block, kind = rest[:size], first("warc-type")
     body = block.partition(b"\r\n\r\n")[2] if (first("content-type") or "").startswith("application/http") else block
     digest = first("warc-payload-digest")
@@ -138,37 +153,62 @@ def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFr
     line = VERSION.encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, name = None, None
+        held, size, need, name = [], 0, 0, None
         for batch in batches:
             out: list[tuple] = []
             for data, where in zip(batch.column(0), batch.column(1), strict=True):
                 data, where = data.as_py(), where.as_py()
                 if where != name:
-                    if held is not None:
-                        out.append(_broken(held))
-                    held, name = None, where
+                    if held:
+                        out.append(_broken(held, name))
+                    held, size, need, name = [], 0, 0, where
                     if not data.strip():
                         continue  # what stands before a file's first version line
-                held = data if held is None else held + line + data
-                record = _parse(held, payload)
-                if record:
-                    out.append(record)
-                    held = None
+                if held:
+                    held.append(line)
+                    size += len(line)
+                held.append(data)
+                size += len(data)
+                # Pieces are joined once, when the record they belong to is whole.
+                if need == 0:
+                    need = _bytes_of(b"".join(held))
+                if need and size >= need:
+                    out.append((*_parse(b"".join(held), payload), where))
+                    held, size, need = [], 0, 0
             if out:
                 yield _batch(out)
-        if held is not None and held.strip():
-            yield _batch([_broken(held)])
+        if held and b"".join(held).strip():
+            yield _batch([_broken(held, name)])
 
     def _batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
-    def _broken(data):
-        return (None, None, [], None, None, None, None, len(data), None, None, False, None)
+    def _broken(pieces, where):
+        return (None, None, [], None, None, None, None, sum(map(len, pieces)), None, None, False, None, where)
 
     text = spark.read.option("lineSep", VERSION).text(path)
     return text.select(F.col("value").cast("binary"), F.col("_metadata.file_path").alias("file")).mapInArrow(run, RECORD)
 
 
+def damaged(records: DataFrame) -> DataFrame:
+    """Records cut off by the end of their file: file and bytes that are there."""
+    return records.filter("not complete").select("file", F.col("payload_bytes").alias("bytes"))
+
+
+def captures_of(main: DataFrame, side: DataFrame) -> DataFrame:
+    """record_id and _key, the capture, of the side records that are linked to
+    anything. A link ties a record to another one, or to an id without a record."""
+    mains = main.select(F.col("record_id").alias("_main")).distinct()
+    named = side.select("record_id", F.explode("concurrent_to").alias("other")).unionByName(
+        main.select(F.explode("concurrent_to").alias("record_id"), F.col("record_id").alias("other")))
+    met = named.join(mains, F.col("other") == F.col("_main"), "left")
+    direct = met.filter("_main is not null").groupBy("record_id").agg(F.min("_main").alias("_key"))
+    linked = components(met.filter("_main is null").select(F.col("record_id").alias("i"), F.col("other").alias("j")))
+    tied = linked.join(direct, linked["node"] == direct["record_id"], "left").groupBy("root").agg(F.min("_key").alias("_key"))
+    over = linked.join(tied, "root").select(F.col("node").alias("record_id"), F.coalesce("_key", "root").alias("_over"))
+    return over.join(direct, "record_id", "full_outer").select("record_id", F.coalesce("_key", "_over").alias("_key"))
+
+
 def assemble(records: DataFrame) -> DataFrame:
     """Records to one nested row per capture: capture_id, response, requests,
     metadata (arrays of all such records), others."""
@@ -176,11 +216,7 @@ def assemble(records: DataFrame) -> DataFrame:
     main = records.filter(F.col("type").isin(*PRIMARY))
     side = records.filter(~F.col("type").isin(*PRIMARY) & (F.col("type") != "warcinfo")).select(
         "record_id", "type", "concurrent_to", "target_uri", "fields")
-    named = main.select(F.col("record_id").alias("_main"), F.explode("concurrent_to").alias("_side")).groupBy("_side").agg(F.min("_main").alias("_main"))
-    side = side.join(named, F.col("record_id") == F.col("_side"), "left").withColumn(
-        "_key", F.coalesce("_main", F.try_element_at("concurrent_to", F.lit(1)), "record_id"))
-    hop = side.filter("_key <> record_id").groupBy(F.col("record_id").alias("_via")).agg(F.min("_key").alias("_to"))
-    side = side.join(hop, F.col("_key") == F.col("_via"), "left").withColumn("_key", F.coalesce("_to", "_key"))
+    side = side.join(captures_of(main, side), "record_id", "left").withColumn("_key", F.coalesce("_key", "record_id"))
     one = F.struct("record_id", "type", "target_uri", "fields")
     pick = lambda kind: F.sort_array(F.collect_list(F.when(kind, one)))
     sides = side.groupBy("_key").agg(

@@ -192,6 +192,33 @@ def test_warc_assembly_of_other_archives(spark, tmp_path):
     assert rows["<gone>"]["response"] is None and ids(rows["<gone>"], "metadata") == ["<m2>"]
 
 
+def test_chains_of_concurrent_records_of_any_length(spark):
+    rows = [("r", "response", []), ("q", "request", ["r"]), ("m", "metadata", ["q"]), ("m2", "metadata", ["m"]), ("m3", "metadata", ["m2"]), ("m4", "metadata", ["m3"]),
+            ("r2", "response", ["x2"]), ("x1", "request", []), ("x2", "metadata", ["x1"]), ("lost", "request", ["gone"]), ("lost2", "metadata", ["lost"]),
+            ("two", "metadata", ["q", "x1"]), ("r3", "response", []), ("alone", "request", None), ("r3", "response", [])]
+    columns = {"record_id", "type", "concurrent_to"}
+    records = spark.createDataFrame([(i, k, c) for i, k, c in rows], "record_id string, type string, concurrent_to array<string>")
+    whole = spark.createDataFrame([], warc.RECORD)
+    records = records.select(*[F.lit(True).alias(f.name) if f.name == "complete" else F.col(f.name) if f.name in columns
+                               else F.lit(None).cast(f.dataType).alias(f.name) for f in whole.schema.fields])
+    got = warc.assemble(records).collect()
+    found = {r["capture_id"]: sorted(x["record_id"] for k in ("requests", "metadata", "others") for x in r[k] or []) for r in got}
+    assert found["r"] == ["m", "m2", "m3", "m4", "q", "two", "x1"] and found["r2"] == ["x2"] and found["r3"] == []
+    assert found["gone"] == ["lost", "lost2"] and found["alone"] == ["alone"] and len(got) == 6
+    assert warc.assemble(whole).count() == 0
+
+
+def test_records_cut_off_are_listed(spark, tmp_path):
+    block = "x" * 50 + "WARC/1.1\r\n" * 400
+    one = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <a>\r\nContent-Length: {len(block)}\r\n\r\n{block}\r\n\r\n"
+    Path(tmp_path, "a.warc.gz").write_bytes(gzip.compress((one + one[:-2000]).encode()))
+    Path(tmp_path, "b.warc.gz").write_bytes(gzip.compress(one.encode()))
+    records = warc.read_archive(spark, f"file://{tmp_path}/*.warc.gz")
+    cut = warc.damaged(records).collect()
+    assert [(r["file"].rsplit("/", 1)[1], r["bytes"]) for r in cut] == [("a.warc.gz", len(one) - 2000 - len("WARC/1.1\r\n"))]
+    assert [len(r["payload"]) for r in records.filter("complete").collect()] == [len(block)] * 2
+
+
 def test_mixing(spark, odd):
     rows = mixing.mix(odd).collect()
     assert len(rows) == len(ODD)
