@@ -2,11 +2,14 @@
 
 Paragraphs are lines. Their features are the word 1- to 3-grams that occur in
 licence templates and hold at least one content word (a word that is not common
-in the corpus); a softmax regression over these sparse features names the
+in the corpus: COMMON words at most, each in MIN_SHARE of all documents, counted
+over whole texts by Spark, lines that resemble a template left out); a softmax regression over these sparse features names the
 family or "unknown". It is trained on the driver from the templates - whole,
 shortened, with words lost and with other words around them - and, for the
 unknown class, from a bounded sample of corpus paragraphs that resemble no
-template. A temperature is fitted on a part held back, and a family counts only
+template (SAMPLE_DOCS documents with the smallest hashes, SAMPLE_CHARS characters
+of each at a hashed offset, of their lines the SAMPLE_LINES with the smallest
+hashes). A temperature is fitted on a part held back, and a family counts only
 from the probability on that no unknown paragraph of that part reaches (0.5 at
 least). Every prediction is then compared with the family's templates: word
 pairs of the template found in the paragraph, or of the paragraph in the
@@ -25,16 +28,18 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulcra.llm._base import lowest, query, table
 
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LINES = 400, 4000, 1500
-VARIANTS, STEPS, RIDGE, COMMON, CONFIRM = 24, 150, 1e-4, 300, 0.8
+VARIANTS, STEPS, RIDGE, COMMON, MIN_SHARE, CONFIRM, RESEMBLES = 24, 150, 1e-4, 300, 0.01, 0.8, 0.5
 UNKNOWN = "unknown"
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 
@@ -112,6 +117,9 @@ def pair_share(part: list[str], whole: list[str]) -> float:
     return sum((a & b).values()) / max(1, sum(a.values()))
 
 
+STOP = frozenset("the of and or in to a is this be that it you may with any".split())
+
+
 class Scanner:
     def __init__(self, families, vocabulary, content, weights, bias, temperature, bar):
         self.families, self.vocabulary, self.content = families, vocabulary, content
@@ -166,14 +174,28 @@ def _variant(words: list[str], filler: list[str], rng) -> list[str]:
     return words
 
 
-def fit(paragraphs: list[str], seed: int = 11) -> Scanner:
-    """Train from the templates and corpus ``paragraphs``; deterministic."""
-    rng = np.random.default_rng(seed)
+class Likeness:
+    """Whether a line resembles a template: RESEMBLES of the word pairs of one
+    are in the other. Lines without a pair of any template are told by a set."""
+
+    def __init__(self):
+        self.templates = [words_of(t) for ts in TEMPLATES.values() for t in ts]
+        self.pairs = {pair for t in self.templates for pair in zip(t, t[1:], strict=False)}
+
+    def __call__(self, words: list[str]) -> bool:
+        if self.pairs.isdisjoint(zip(words, words[1:], strict=False)):
+            return False
+        return max(max(pair_share(t, words), pair_share(words, t)) for t in self.templates) >= RESEMBLES
+
+
+def fit(paragraphs: list[str], common: frozenset[str] = frozenset(), seed: int = 11) -> Scanner:
+    """Train from the templates and corpus ``paragraphs``, ``common`` being the
+    corpus's common words; deterministic."""
+    rng, resembles = np.random.default_rng(seed), Likeness()
     templates = [(f, words_of(t)) for f, ts in TEMPLATES.items() for t in ts]
-    plain = [w for p in paragraphs if (w := words_of(p)) and max(max(pair_share(t, w), pair_share(w, t)) for _, t in templates) < 0.5]
-    common = {w for w, _ in Counter(w for p in plain for w in p).most_common(COMMON)}
+    plain = [w for p in paragraphs if (w := words_of(p)) and not resembles(w)]
     families = [*TEMPLATES, UNKNOWN]
-    content = {w for _, t in templates for w in t if len(w) > 1 or w.isdigit()} - common - {"the", "of", "and", "or", "in", "to", "a", "is", "this", "be", "that", "it", "you", "may", "with", "any"}
+    content = {w for _, t in templates for w in t if len(w) > 1 or w.isdigit()} - common - STOP
     vocabulary: dict[tuple[str, ...], int] = {}
     for _, t in templates:
         for g in grams(t):
@@ -237,12 +259,36 @@ def _softmax(x: np.ndarray, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
     return w, b
 
 
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """word and n: in how many documents each word is, outside lines that
+    resemble a template. A task sends one row per word and batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resembles = Likeness()
+        for batch in batches:
+            counts: Counter[str] = Counter()
+            for text in batch.column(0).to_pylist():
+                counts.update({w for line in (text or "").split("\n") if not resembles(words := words_of(line)) for w in words})
+            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
+
+    rows = docs.select(F.col(text_col)).mapInArrow(run, "word string, n long")
+    return rows.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def common_words(docs: DataFrame, text_col: str = "text") -> frozenset[str]:
+    """The most frequent words of the corpus, by documents; COMMON at most."""
+    least = MIN_SHARE * docs.count()
+    top = word_counts(docs, text_col).filter(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(COMMON)
+    return frozenset(r["word"] for r in top.collect())
+
+
 def sample_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
-    """Lines of at most SAMPLE_DOCS documents (smallest hashes), SAMPLE_CHARS
-    characters of each, at most SAMPLE_LINES lines."""
-    rows = docs.filter(lowest(F.xxhash64(id_col), SAMPLE_DOCS, docs.count()))
-    picked = rows.select(F.xxhash64(id_col).alias("h"), F.substring(F.coalesce(text_col, F.lit("")), 1, SAMPLE_CHARS).alias("t")).orderBy("h", "t").limit(SAMPLE_DOCS)
-    return [line for r in picked.collect() for line in r["t"].split("\n") if line.strip()][:SAMPLE_LINES]
+    """Lines to learn the unknown class from, see above."""
+    hashed, text = F.xxhash64(id_col), F.coalesce(F.col(text_col), F.lit(""))
+    offset = F.pmod(hashed, F.greatest(F.char_length(text) - SAMPLE_CHARS + 1, F.lit(1)).cast("long")) + 1
+    rows = docs.filter(lowest(hashed, SAMPLE_DOCS, docs.count())).select(
+        hashed.alias("h"), F.substring(text, offset.cast("int"), F.lit(SAMPLE_CHARS)).alias("t")).orderBy("h", "t").limit(SAMPLE_DOCS)
+    lines = rows.select(F.explode(F.split("t", "\n")).alias("line")).filter(F.trim("line") != "")
+    return [r["line"] for r in lines.orderBy(F.xxhash64("line"), "line").limit(SAMPLE_LINES).collect()]
 
 
 def scan_column(scanner: Scanner, text: Column) -> Column:
@@ -258,7 +304,7 @@ def scan_column(scanner: Scanner, text: Column) -> Column:
 def scan(docs: DataFrame, scanner: Scanner | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per licence line: id, start and end (code points), family,
     probability, template similarity, confirmed."""
-    scanner = scanner or fit(sample_paragraphs(docs, id_col, text_col))
+    scanner = scanner or fit(sample_paragraphs(docs, id_col, text_col), common_words(docs, text_col))
     return docs.select(F.col(id_col), F.explode(scan_column(scanner, F.col(text_col))).alias("s")).select(id_col, "s.*")
 
 

@@ -7,7 +7,8 @@ once. Entries form a trie. The automaton of all words within an entry's edit
 bound is intersected with the trie and made deterministic lazily: a state is
 the set of (trie node, edits) still alive, so a word costs one table lookup per
 letter and most die after a few. Entries whose misspellings also occur in rows
-that are not toxic lose edits until they do not.
+that are not toxic lose edits until they do not; words under five letters count
+only as they are.
 
 Scoring: every hit weighs by its log odds and edits. Its context window tells
 quotation (inside quotation marks, words of reporting or naming nearby) from
@@ -35,7 +36,7 @@ from pulcra.llm._base import is_held_out, query, table
 from pulcra.llm.quality import sample
 
 THRESHOLD, REACH = 0.3, 8
-MIN_WORD, MIN_CONTEXTS, MIN_ODDS, MIN_ENDINGS, STEM = 4, 4, 2.5, 4, (4, 8)
+MIN_CONTEXTS, MIN_ODDS, MIN_ENDINGS, STEM = 4, 2.5, 4, (4, 8)
 CACHE, STATES = 200_000, 50_000
 _WORD = re.compile(r"\w+")
 
@@ -201,7 +202,7 @@ def edits_allowed(term: str, stem: bool) -> int:
 def _contexts(rows: list[list[str]]) -> Counter:
     """For each word the number of its different (previous, next) neighbours."""
     seen = {t for w in rows for t in zip(["", *w[:-1]], w, [*w[1:], ""], strict=True)}
-    return Counter(w for _, w, _ in seen if len(w) >= MIN_WORD)
+    return Counter(w for _, w, _ in seen)
 
 
 def _stems(words: Counter) -> tuple[Counter, Counter]:

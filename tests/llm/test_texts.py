@@ -332,3 +332,79 @@ def test_licences(spark):
     rows = spark.createDataFrame([(1, None, 1), (2, "", 2), (None, "All rights reserved.", 3)], "doc_id long, text string, start int")
     assert [(r["doc_id"], r["family"]) for r in licenses.scan(rows, scanner).collect()] == [(None, "proprietary")]
     assert licenses.scan(rows.limit(0)).count() == 0
+
+
+def test_licence_probabilities_and_similarity_against_plain_loops():
+    rng = np.random.default_rng(8)
+    scanner = licenses.fit([" ".join(f"w{i}" for i in rng.integers(0, 90, 12)) for _ in range(120)])
+    for line in ("Released under the MIT License, w1 w2", "software software is provided as is", "w1 w2 w3", "the software"):
+        words = licenses.words_of(line)
+        counts = Counter(g for n in (1, 2, 3) for i in range(len(words) - n + 1)
+                         if (g := tuple(words[i:i + n])) in scanner.vocabulary and any(w in scanner.content for w in g))
+        norm = math.sqrt(sum(counts.values())) or 1.0
+        z = [float(scanner.bias[k]) + sum(math.sqrt(n) / norm * float(scanner.weights[scanner.vocabulary[g], k]) for g, n in counts.items())
+             for k in range(len(scanner.families))]
+        e = [math.exp((v - max(z)) / scanner.temperature) for v in z]
+        assert scanner.probabilities(words).tolist() == pytest.approx([v / sum(e) for v in e])
+        for family, texts in licenses.TEMPLATES.items():
+            best = 0.0
+            for own in map(licenses.words_of, texts):
+                a, b = ([(x[i], x[i + 1]) for i in range(len(x) - 1)] for x in (own, words))
+                both = sum(min(a.count(p), b.count(p)) for p in set(a))
+                best = max(best, both / max(1, len(a)), both / max(1, len(b)) if len(words) >= 6 else 0)
+            assert scanner.similarity(family, words) == pytest.approx(best)
+
+
+def test_common_words_come_from_whole_texts_of_all_documents(spark, monkeypatch):
+    notice = licenses.TEMPLATES["MIT"][0]
+    texts = ["first " + "filler " * 3000 + "last", f"first line\n{notice}\nlast", None, "", "other words", notice]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string").repartition(4)
+    counts = {r["word"]: r["n"] for r in licenses.word_counts(rows).collect()}
+    assert counts == {"first": 6, "filler": 3, "last": 6, "line": 3, "other": 3, "words": 3}
+    monkeypatch.setattr(licenses, "MIN_SHARE", 0.3)
+    assert licenses.common_words(rows) == {"first", "last"}
+    assert licenses.common_words(rows.limit(0)) == frozenset()
+    monkeypatch.setattr(licenses, "SAMPLE_CHARS", 40)
+    lines = licenses.sample_paragraphs(rows)
+    assert len(lines) <= licenses.SAMPLE_LINES and any(not line.startswith("first") for line in lines)
+
+
+def test_quality_forward_pass_against_plain_loops():
+    net, rng = quality.Network(3), np.random.default_rng(2)
+    w = {k: v.astype(float) for k, v in net.w.items()}
+    for n in (0, 1, 5, 8, 300, 512, 513, 1400):
+        data = rng.integers(0, 256, n, dtype=np.uint8).tobytes()
+        starts = [0] if n <= 512 else [*range(0, n - 512, 448), n - 512]
+        assert quality.chunk_starts(n) == starts
+        hidden = []
+        for start in starts:
+            part = data[start:start + 512]
+            padded = [*part, *[256] * (512 - len(part))]
+            pooled = []
+            for f in range(quality.FILTERS):
+                best = -1e9
+                for at in range(0, 512 - quality.WINDOW + 1, quality.STRIDE):
+                    if at < len(part):
+                        best = max(best, sum(w["e"][padded[at + i]] @ w["f"][i * quality.EMBED:(i + 1) * quality.EMBED, f] for i in range(quality.WINDOW)))
+                pooled.append(max(best + w["fb"][f], 0))
+            size = quality._size(np.array([len(part)]))[0]
+            hidden.append(np.maximum(np.array([*pooled, *size]) @ w["h"] + w["hb"], 0))
+        z = np.mean(hidden, axis=0) @ w["o"] + w["ob"][0]
+        assert net.scores([data])[0] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-4), n
+
+
+def test_toxicity_learns_short_words():
+    rng = np.random.default_rng(12)
+    words = [f"word{i}" for i in range(200)]
+    texts, labels = [], []
+    for k in range(120):
+        text = [words[i] for i in rng.integers(0, 200, 30)]
+        if k % 3 == 0:
+            for bad in ("fu", "狗"):
+                text.insert(int(rng.integers(0, len(text))), bad)
+        texts.append(" ".join(text))
+        labels.append(int(k % 3 == 0))
+    model = toxicity.fit(texts, labels, 0.3)
+    found = {e[0]: e[2] for e in model.entries}
+    assert found.get("fu") == 0 and found.get("狗") == 0
+    assert model.score("word1 fu word2") > 0.3 > model.score("word1 fx fun word2")
