@@ -14,6 +14,8 @@ from pulcra.operators import metrics as M
 from pulcra.operators import validation as V
 from pulcra.plans.cleaning import STEPS, audit_log, clean, clean_stages, clean_with_decisions, cleaned_rows
 from pulcra.plans.compare import quality_before_after, stored
+from pulcra.session import scratch_path
+from pulcra.streaming.repeats import repeated_codes
 
 COLS = list(COLUMNS)
 OUT = list(DEMO.clean_columns)
@@ -394,3 +396,24 @@ UNION ALL SELECT {len(M.METRICS)}, 'corrections', 0, CAST(sum(affected) AS DOUBL
   string_agg(correction || '=' || affected, '; ' ORDER BY correction || '=' || affected) FROM report""")
 def quality(spark, sf_dir):
     return quality_before_after(stored(registry(spark, sf_dir)), DEMO, catalogue(spark, sf_dir))
+
+
+@query("stream_repeated_codes", f"""WITH {REGISTRY}, b AS (SELECT code, row_id, CASE WHEN row_id % 2 = 0 THEN 1 ELSE 2 END AS batch FROM registry),
+n AS (SELECT code, batch, count(*) AS n, min(row_id) AS low FROM b GROUP BY ALL),
+t AS (SELECT n.*, coalesce(o.n, 0) AS before, coalesce(o.low, n.low) AS first FROM n LEFT JOIN n o ON o.code = n.code AND o.batch < n.batch)
+SELECT code AS "key", first AS first_row_id, before AS seen_before, n AS seen_now FROM t WHERE before + n > 1""")
+def stream_repeated_codes(spark, sf_dir):
+    """V7 over two micro-batches, the query being started anew for the second."""
+    root, rows = scratch_path(spark, "stream"), registry(spark, sf_dir).select("row_id", "code", F.lit("2024-01-01 00:00:00").cast("timestamp").alias("at"))
+
+    def run(name, part):
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        query = repeated_codes(stream, "code", "row_id", "at").writeStream.outputMode("update").option(
+            "checkpointLocation", f"{root}/checkpoint").foreachBatch(
+            lambda found, batch: found.write.mode("overwrite").parquet(f"{root}/out/batch={name}-{batch}")).trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    for name, rest in (("even", 0), ("odd", 1)):
+        run(name, rows.where(F.col("row_id") % 2 == rest))
+    return spark.read.parquet(f"{root}/out").drop("batch")

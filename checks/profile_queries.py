@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import query, s_missing, s_percent, s_place, table
+from checks.base import WS, query, s_missing, s_percent, s_place, table
 from checks.demo import CATALOGUE, CHILD_MAP, CHILD_MAP_SQL, COLUMNS, DEMO, REGISTRY, catalogue, registry
 from checks.text_queries import CODE, DISTRICT
 from pulcra.functions import predicates as P
 from pulcra.operators import catalog as C
 from pulcra.operators import dedup as D
+from pulcra.operators import profile_state as PS
 from pulcra.operators import profiling as A
+from pulcra.session import scratch_path, written
 
 COLS = list(COLUMNS)
 COUNT_MISSING = " UNION ALL ".join(
@@ -43,6 +45,40 @@ def profile_distinct(spark, sf_dir):
     return A.distinct_values(registry(spark, sf_dir), COLS)
 
 
+# Files of one hundred million ids each; the second visit finds the later ones.
+_PROFILED = ["code", "parent", "child", "name", "address", "phone"]
+
+
+@query("profile_from_states", f"WITH {REGISTRY} " + " UNION ALL ".join(
+    f"""SELECT {i + 1} AS position, '{c}' AS variable, count(*) AS rows, count(*) FILTER (WHERE {s_missing(c)}) AS missing,
+  count(*) FILTER (WHERE NOT {s_missing(c)} AND regexp_matches({c}, '^[{WS}]|[{WS}]$')) AS edge_spaces,
+  count(*) FILTER (WHERE NOT {s_missing(c)} AND regexp_matches({c}, '[a-záéíóúüñ]')) AS lower_case, """
+    + ("count(*) FILTER (WHERE regexp_full_match(code, 'CUSTOMER#[0-9]{{9}}')) AS valid, "
+       if c == "code" else "CAST(NULL AS BIGINT) AS valid, ").replace("{{", "{").replace("}}", "}")
+    + "TRUE AS distinct_fits, TRUE AS only_new_files FROM registry" for i, c in enumerate(_PROFILED)))
+def profile_from_states(spark, sf_dir):
+    """States of two visits, merged, against one look at all rows."""
+    rows, root = registry(spark, sf_dir), scratch_path(spark, "profiled")
+    early = F.col("row_id") % 3 < 2
+
+    def visit():
+        files = PS.refresh(spark, f"{root}/states", f"{root}/data", lambda paths: spark.read.parquet(*paths), _PROFILED,
+                           {"code": DEMO.code_patterns})
+        return written(files, "visit")
+
+    rows.where(early).write.parquet(f"{root}/data/1")
+    first = visit()
+    rows.where(~early).write.parquet(f"{root}/data/2")
+    both = visit()
+    stored = spark.read.parquet(f"{root}/states")
+    again = stored.groupBy("file", "variable").count().where("count > 1").count()
+    profile = PS.merged(both).join(A.distinct_values(rows, _PROFILED), "variable")
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_values")) <= 0.03 * F.col("distinct_values") + 1
+    return profile.select(
+        "position", "variable", "rows", "missing", "edge_spaces", "lower_case", "valid", near.alias("distinct_fits"),
+        F.lit(again == 0 and first.count() < both.count()).alias("only_new_files"))
+
+
 _ORDER_COLS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
                "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}
 

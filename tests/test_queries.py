@@ -11,13 +11,14 @@ from checks.verify import compare, connect
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
-SAMPLE = ("text_canonical", "profile_missing", "catalog_flags", "exact_dup_members", "token_set_score",
-          "clean_registry", "violations", "separator_blocks", "csv_union", "table_fingerprint")
+@pytest.fixture(scope="module")
+def sql():
+    return connect(SF)
 
 
-@pytest.mark.parametrize("name", SAMPLE)
-def test_matches_sql(spark, name):
-    assert compare(spark, connect(SF), SF, name).startswith("ok ")
+@pytest.mark.parametrize("name", sorted(suite.ORACLES))
+def test_matches_sql(spark, sql, name):
+    assert compare(spark, sql, SF, name).startswith("ok ")
 
 
 def test_every_oracle_has_a_query():

@@ -1,6 +1,11 @@
+import shutil
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
+from pulcra.operators import profile_state as PS
+from pulcra.operators import profiling as A
 from pulcra.operators.validation import InvalidTable
 from pulcra.plans import publish as X
 from pulcra.profiles.schools import DEPARTMENT_CODES, SCHOOLS
@@ -11,6 +16,7 @@ from pulcra.sources.blocks import separator_blocks
 from pulcra.sources.manifest import file_digests, source_manifest
 from pulcra.sources.pages import element_by_id
 from pulcra.streaming import clean_stream
+from pulcra.streaming.repeats import repeated_codes, repeated_rows
 from tests.rows import clean_table, raw_table
 
 
@@ -284,6 +290,74 @@ def test_contradicting_corrections_change_nothing(spark):
     assert sorted(map(str, conflicts.collect())) == sorted(map(str, ledger.where("variable = 'SECTOR'").collect()))
 
 
+def test_profiles_merge_and_read_only_new_files(spark, tmp_path):
+    columns, shapes = ["a", "b"], {"a": (r"[0-9]{2}",)}
+    rows = [("01", " x"), ("N/A", "y  z"), (None, "\u200by"), ("1", "Q"), ("02", None), ("01", "-")]
+    read = []
+
+    def reader(paths):
+        read.append(len(paths))
+        return spark.read.schema("a string, b string").parquet(*paths)
+
+    def visit():
+        files = PS.refresh(spark, str(tmp_path / "states"), str(tmp_path / "data"), reader, columns, shapes)
+        return {r.variable: r.asDict() for r in PS.merged(files).collect()}, PS.totals(PS.merged(files)).first().asDict()
+
+    def add(name, part):
+        spark.createDataFrame(part, "a string, b string").coalesce(1).write.parquet(str(tmp_path / "data" / name))
+
+    add("one", rows[:3])
+    add("two", rows[3:])
+    whole = spark.createDataFrame(rows, "a string, b string")
+    got, totals = visit()
+    missing = {r.variable: r.missing for r in A.missing_by_column(whole).collect()}
+    forms = {r.variable: r.asDict() for r in A.text_format(whole).collect()}
+    distinct = {r.variable: r.distinct_values for r in A.distinct_values(whole).collect()}
+    for c in columns:
+        assert got[c]["rows"] == 6 and got[c]["missing"] == missing[c] and got[c]["distinct_estimate"] == distinct[c]
+        assert {k: got[c][k] for k in forms[c] if k != "variable"} == {k: v for k, v in forms[c].items() if k != "variable"}
+    assert (got["a"]["valid"], got["a"]["invalid"], got["b"]["valid"]) == (3, 1, None)
+    assert totals == A.missing_total(whole).first().asDict()
+    assert read == [2] and visit() == (got, totals) and read == [2]  # nothing new, nothing read
+    add("three", rows[:1])
+    assert visit()[0]["a"]["rows"] == 7 and read == [2, 1]
+    shutil.rmtree(tmp_path / "data" / "one")
+    assert visit()[0]["a"]["rows"] == 4 and read == [2, 1]
+
+
+def test_estimates_stay_within_the_stated_error(spark):
+    df = spark.range(60_000).select(F.col("id").cast("string").alias("v"), F.concat(F.lit("f"), F.col("id") % 7).alias("file"),
+                                    F.lit(1).alias("bytes"), F.current_timestamp().alias("modified"))
+    estimate = PS.merged(PS.states(df, ["v"])).first().distinct_estimate
+    assert abs(estimate - 60_000) < 3 * 1.04 / 2 ** (PS.LG_K / 2) * 60_000
+
+
+def test_repeated_keys_over_batches_and_a_restart(spark, tmp_path):
+    schema, found = "row_id bigint, code string, at timestamp", []
+
+    def run(rows, options=None):
+        spark.createDataFrame([(i, c, datetime(2024, 1, d)) for i, c, d in rows], schema).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        (repeated_codes(stream, "code", "row_id", "at", **(options or {})).writeStream.outputMode("update")
+         .option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(lambda df, _: found.extend(map(tuple, df.collect())))
+         .trigger(availableNow=True).start().awaitTermination())
+        out = sorted(found)
+        found.clear()
+        return out
+
+    assert run([(1, "a", 1), (2, "b", 1), (3, "b", 1), (4, None, 1), (5, None, 1)]) == [("b", 2, 0, 2)]
+    assert run([(6, "a", 2), (7, "c", 2), (0, "b", 2)]) == [("a", 1, 1, 1), ("b", 2, 2, 1)]  # a row of each batch
+    run([(8, "z", 20)])  # the watermark passes all others by more than a day
+    assert run([(9, "y", 21)]) == []
+    assert run([(10, "a", 22)]) == []  # its state was dropped
+    rows = spark.createDataFrame([(1, "x", None), (2, "x", None), (3, "x", "y")], "row_id bigint, k string, v string").withColumn("at", F.current_timestamp())
+    rows.write.parquet(str(tmp_path / "rows"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "rows"))
+    query = repeated_rows(stream, ["k", "v"], "row_id", "at").writeStream.outputMode("update").format("memory").queryName("same_rows").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [(r.first_row_id, r.seen_now) for r in spark.table("same_rows").collect()] == [(1, 2)]
+
+
 def test_cleaning_takes_a_stream(spark, places, tmp_path):
     raw = raw_table(spark, [{"ESTABLECIMIENTO": " liceo  x "}, {"TELEFONO": "1"}])
     raw.write.parquet(str(tmp_path / "in"))
