@@ -26,8 +26,8 @@ def stored_csv(spark, rows) -> str:
     return path
 
 
-# No field of the registry holds a line break, so its files can be split.
-PLAIN = {"columns": COLS, "multiline": False}
+# No field of the registry holds a line break, so its files are split.
+PLAIN = {"columns": COLS}
 
 
 @query("csv_roundtrip", f"WITH {REGISTRY} SELECT {FILE_ROW} FROM registry")
@@ -42,7 +42,7 @@ def csv_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source",
         F.col("n_chars").cast("string").alias("n_chars"))
-    return csv.read_raw(spark, stored_csv(spark, docs), docs.columns)
+    return csv.read_raw(spark, stored_csv(spark, docs), docs.columns, multiline=True)
 
 
 # Segments with planted not-available tokens, and one (' N/A ') that is none.

@@ -49,10 +49,8 @@ SELECT id, {s_ascii('t')} AS ascii, {s_place('text')} AS place_key,
   replace(replace({s_ascii('t')}, '.', ''), ',', '') AS similarity_key,
   trim(regexp_replace({s_ascii('t')}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS category_key FROM c""")
 def text_ascii_keys(spark, sf_dir):
-    c = F.col("text")
-    return T.nfkc_columns(dirty(spark, sf_dir), ["text"]).select(
-        "id", T.canonical(c, ascii_only=True).alias("ascii"), T.place_key(c).alias("place_key"),
-        T.similarity_key(c).alias("similarity_key"), T.category_key(c).alias("category_key"))
+    return T.with_ascii_keys(T.nfkc_columns(dirty(spark, sf_dir), ["text"]), "text").select(
+        "id", "ascii", "place_key", "similarity_key", "category_key")
 
 
 @query("text_decorative_prefix", f"""

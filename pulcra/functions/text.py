@@ -286,6 +286,17 @@ def category_key(c: Column) -> Column:
     )
 
 
+def with_ascii_keys(df: DataFrame, column: str) -> DataFrame:
+    """Add ascii, place_key, similarity_key and category_key of a column (NFKC
+    input). The canonical text and its ASCII form are computed once a row."""
+    once = pinned(df, {"__canonical": canonical(F.col(column))})
+    once = pinned(once, {"ascii": to_ascii(F.col("__canonical"))})
+    plain = F.col("ascii")
+    return once.drop("__canonical").withColumns({
+        "place_key": place_key(F.col(column)), "similarity_key": F.translate(plain, ".,", ""),
+        "category_key": F.trim(F.regexp_replace(plain, f"[^{chars.ALNUM}]+", " "))})
+
+
 # --- small helpers -----------------------------------------------------------
 
 

@@ -174,7 +174,7 @@ def _named(back: DataFrame, p: Profile) -> DataFrame:
 def _version(spark: SparkSession, path: str, schema, csv: bool) -> DataFrame:
     if csv:
         # Pinned: the rules would repeat the reader's expressions many times over.
-        back = read_for_validation(spark, path, columns=schema.fieldNames())
+        back = read_for_validation(spark, path, columns=schema.fieldNames(), multiline=True)
         return pinned(back, {c: F.col(c) for c in back.columns})
     return spark.read.schema(schema).parquet(path)
 

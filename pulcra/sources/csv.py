@@ -24,15 +24,15 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 
 def read_raw(
     spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, *,
-    multiline: bool = True, position: str | None = None, file: str | None = None,
+    multiline: bool = False, position: str | None = None, file: str | None = None,
 ) -> DataFrame:
     """Every column text, markers literal, empty fields as ''.
 
     All paths are one scan. Every task checks the header of its own file
     against ``columns`` (default: the first file's header), so a file with
-    other names or another order fails the read. ``multiline`` keeps quoted
-    line breaks and reads a file in one task; turn it off to split large files
-    that have none. ``position`` adds an id that grows in file order.
+    other names or another order fails the read. Files are split among tasks; a
+    row that a quoted line break cuts has too few fields and fails the read.
+    ``multiline`` keeps such line breaks and reads each file in one task. ``position`` adds an id that grows in file order.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:

@@ -27,9 +27,23 @@ def write(path, text):
 
 def test_readers_differ_only_in_what_is_missing(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'a,b\n01,\n"N/A","x\ny"\n,"q ""z"""\n')
-    assert [tuple(r) for r in csv.read_raw(spark, path).collect()] == [("01", ""), ("N/A", "x\ny"), ("", 'q "z"')]
-    assert csv.read_for_validation(spark, path).where("a IS NULL").count() == 1
-    assert csv.read_default_na(spark, path).where("a IS NULL").count() == 2
+    assert [tuple(r) for r in csv.read_raw(spark, path, multiline=True).collect()] == [("01", ""), ("N/A", "x\ny"), ("", 'q "z"')]
+    assert csv.read_for_validation(spark, path, multiline=True).where("a IS NULL").count() == 1
+    assert csv.read_default_na(spark, path, multiline=True).where("a IS NULL").count() == 2
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv.read_raw(spark, path).collect()
+
+
+def test_files_without_line_breaks_in_fields_are_split(spark, tmp_path):
+    path = write(tmp_path / "long.csv", "a,b\n" + "".join(f"{i},\"x, {i}\"\n" for i in range(20000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        rows = csv.read_raw(spark, path, position="at")
+        assert rows.rdd.getNumPartitions() > 4 and csv.read_raw(spark, path, multiline=True).rdd.getNumPartitions() == 1
+        assert [r.a for r in rows.orderBy("at").collect()] == [str(i) for i in range(20000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_union_needs_the_same_header(spark, tmp_path):
