@@ -35,7 +35,7 @@ empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulcra.llm._base import query, salt_of, salted, stored, table
@@ -139,11 +139,15 @@ def classes(found: DataFrame) -> DataFrame:
     return rows.groupBy("_n").agg(F.collect_set(F.struct("df", "sign")).alias("classes"), F.max("df").alias("top"))
 
 
+def terms_of(text: Column) -> Column:
+    """The different terms of a masked text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.lower(w)))
+
+
 def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """term and df: in how many rows of ``docs`` each term is. Texts are masked
     like those that terms are looked up in."""
-    words = docs.select(F.explode(F.array_distinct(F.transform(
-        F.regexp_extract_all(masked(F.col(text_col)), F.lit(WORD), 0), lambda w: F.lower(w)))).alias("term"))
+    words = docs.select(F.explode(terms_of(masked(F.col(text_col)))).alias("term"))
     return words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
@@ -159,23 +163,33 @@ def disclosure(both: Column, term: Column, entity: Column, n: float) -> Column:
     return F.try_divide(F.log2(n * low / entity), F.log2(n / entity))
 
 
-def occurrences(docs: DataFrame, found: DataFrame, held: DataFrame, text_col: str, n: float) -> DataFrame:
-    """_n, term, start, end, df: where terms occur that may disclose an entity
-    of their document."""
+def suspects(docs: DataFrame, found: DataFrame, held: DataFrame, text_col: str, n: float) -> DataFrame:
+    """_n, term, df: the different terms of documents with entities that are rare
+    enough to disclose one of them."""
     counts = stored(word_counts(docs, text_col), "terms")
-    rows = found.filter("_masked is not null").select("_n", "_masked").join(held.select("_n", "top"), "_n")
-    rows = rows.select("_n", "_masked", bound(F.col("top"), n).alias("most"),
-                       F.explode(marked_spans(F.col("_masked"), WORD, lambda _: F.lit(True))).alias("s")).select(
-        "_n", "most", "s.start", "s.end", F.lower(F.substr("_masked", F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))).alias("term"))
+    rows = found.filter("_masked is not null").join(held.select("_n", "top"), "_n").select(
+        "_n", bound(F.col("top"), n).alias("most"), F.explode(terms_of(F.col("_masked"))).alias("term"))
     common = F.col("df") > max(n / COMMON, 16)
     first = rows.join(F.broadcast(counts.filter(common)), "term", "left").filter("df is null or df <= most")
     rare = first.filter("df is null").drop("df").join(counts.filter(~common).hint("merge"), "term").filter("df <= most")
     return rare.unionByName(first.filter("df is not null")).drop("most")
 
 
+def occurrences(found: DataFrame, told: DataFrame) -> DataFrame:
+    """_n, start, end, disclosure: where the telling terms stand. A running sum
+    over the pieces of a text gives positions; only texts with a telling term
+    are taken apart."""
+    rows = found.filter("_masked is not null").join(told.select("_n").distinct(), "_n", "left_semi")
+    pieces = rows.select("_n", F.posexplode(F.split(F.regexp_replace("_masked", WORD, f"{MARK}$0{MARK}"), MARK, -1)).alias("at", "piece"))
+    order = Window.partitionBy("_n").orderBy("at")
+    placed = pieces.withColumn("size", F.char_length("piece")).withColumn("end", F.sum("size").over(order).cast("int"))
+    words = placed.filter("at % 2 = 1").select("_n", F.lower("piece").alias("term"), (F.col("end") - F.col("size")).alias("start"), "end")
+    return words.join(told, ["_n", "term"]).drop("term")
+
+
 def telling(near: DataFrame, held: DataFrame, n: float) -> DataFrame:
     """_n, term, disclosure (the highest, GENERALISE at least)."""
-    pairs = near.select("_n", "term", F.col("df").alias("term_df")).distinct().join(held.select("_n", "classes"), "_n").select(
+    pairs = near.select("_n", "term", F.col("df").alias("term_df")).join(held.select("_n", "classes"), "_n").select(
         "_n", "term", "term_df", F.explode("classes").alias("c")).select("_n", "term", "term_df", "c.df", "c.sign").filter(
         F.col("term_df") <= bound(F.col("df"), n))
     alone = pairs.filter("df = 1").select("_n", "term", disclosure(F.lit(1.0), F.col("term_df"), F.col("df"), n).alias("disclosure"))
@@ -193,10 +207,10 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     found = stored(found_spans(docs, id_col, text_col), "spans")
     n = float(found.count())
     held = stored(classes(found), "classes")
-    near = stored(occurrences(docs, found, held, text_col, n), "occurrences")
-    told = telling(near, held, n)
+    near = stored(suspects(docs, found, held, text_col, n), "suspects")
+    told = stored(telling(near, held, n), "telling")
     action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
-    added = near.join(told, ["_n", "term"]).groupBy("_n").agg(F.sort_array(F.collect_list(F.struct(
+    added = occurrences(found, told).groupBy("_n").agg(F.sort_array(F.collect_list(F.struct(
         F.lit(4).alias("kind"), "start", "end", action.alias("action")))).alias("_added"))
     base = F.transform("_spans", lambda s: F.struct(s["kind"], s["start"], s["end"], F.lit("mask").alias("action")))
     kind = "array<struct<kind:int,start:int,end:int,action:string>>"
