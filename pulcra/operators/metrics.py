@@ -1,8 +1,8 @@
 """Before/after quality metrics.
 
-Every stage is measured by one wide aggregate plus two pre-aggregated counts
-(identical rows, review pairs); the results are long rows, combined by a
-grouped union - no cross joins between scalar results.
+Every stage is measured by one pass that counts identical rows by digest and
+carries each row's flags along, plus the review's pairs; the results are long
+rows, combined by a grouped union - no cross joins between scalar results.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from pulcra.functions import text
 from pulcra.functions import predicates as P
+from pulcra.functions.rowhash import row_digest
 from pulcra.operators.dedup import near_duplicates, pair_totals
-from pulcra.operators.profiling import exact_duplicates, percent, real_rows
+from pulcra.operators.profiling import percent, real_rows
 from pulcra.profile import Profile
 
 METRICS = (
@@ -62,19 +63,33 @@ def stage_metrics(df: DataFrame, p: Profile, *, raw: bool, review: DataFrame | N
         **{f"void|{c}": text.is_blank_like(F.col(f"folded|{c}")) for c in columns},
     })
     formats = format_rules(p, columns)
-    hits = F.lit(0)
+    capital = seen = F.lit(None).cast("string")
     if p.zone is not None:
-        capital = text.canonical(F.col(f"folded|{p.parent}")) == p.zone.capital
-        hits = hits + (F.count_if(F.col(p.parent).isNotNull() & capital) > 0).cast("int")
+        is_capital = F.col(p.parent).isNotNull() & (text.canonical(F.col(f"folded|{p.parent}")) == p.zone.capital)
+        capital = F.when(is_capital, F.lit("1"))
     if raw and p.child_map:
+        key = text.canonical(F.col(f"folded|{p.child}"), ascii_only=True)
+        seen = F.when(key.isin(*p.child_map), key)
+
+    def flags(conditions: list[Column]) -> Column:
+        return F.concat(F.lit(""), *[F.when(c, "1").otherwise("0") for c in conditions])
+
+    # Identical rows have identical flags, so digests are counted and flags
+    # carried along in one pass; all numbers are sums over these groups.
+    groups = folded.select(
+        row_digest(columns).alias("digest"), flags([F.col(f"void|{c}") for c in columns]).alias("void"),
+        flags([F.col("real") & rule for rule in formats.values()]).alias("format"), capital.alias("capital"), seen.alias("seen"),
+    ).groupBy("digest", "void", "format", "capital", "seen").agg(F.count(F.lit(1)).alias("n"))
+
+    def marked(kind: str, names: list[str]) -> list[Column]:
+        return [F.coalesce(F.sum(F.when(F.substring(kind, i + 1, 1) == "1", F.col("n"))), F.lit(0)).alias(f"{kind}|{c}")
+                for i, c in enumerate(names)]
+
+    wide = groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("records"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"),
+        *marked("void", columns), *marked("format", list(formats)),
         # A set bounded by the number of map keys.
-        seen = text.canonical(F.col(f"folded|{p.child}"), ascii_only=True)
-        hits = hits + F.size(F.collect_set(F.when(seen.isin(*p.child_map), seen)))
-    wide = folded.agg(
-        F.count(F.lit(1)).alias("records"),
-        *[F.count_if(F.col(f"void|{c}")).alias(f"void|{c}") for c in columns],
-        *[F.count_if(F.col("real") & rule).alias(f"format|{c}") for c, rule in formats.items()],
-        hits.cast("bigint").alias("categories"),
+        (F.count_if(F.col("capital").isNotNull()).cast("boolean").cast("int") + F.size(F.collect_set("seen"))).cast("bigint").alias("categories"),
     )
 
     def listed(prefix: str, names: list[str]) -> Column:
@@ -104,6 +119,7 @@ def stage_metrics(df: DataFrame, p: Profile, *, raw: bool, review: DataFrame | N
         "inconsistent_format": (how_many("format", list(formats)), listed("format", list(formats))),
         "wrong_type": (F.lit(len(wrong)), F.lit(", ".join(wrong))),
         "inconsistent_categories": (F.col("categories"), none),
+        "exact_duplicates": (F.col("duplicates"), none),
     }
 
     def row(metric: str, value: Column, names: Column = none) -> Column:
@@ -111,9 +127,6 @@ def stage_metrics(df: DataFrame, p: Profile, *, raw: bool, review: DataFrame | N
                         names.alias("columns"))
 
     out = wide.select(F.inline(F.array(*[row(m, v, names) for m, (v, names) in values.items()])))
-    copies = exact_duplicates(df, columns)
-    out = out.unionByName(copies.select(
-        F.inline(F.array(row("exact_duplicates", F.col("duplicates"))))))
     if review is None:
         review = near_duplicates(real_rows(df, columns), p)
     totals = pair_totals(review)

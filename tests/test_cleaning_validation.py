@@ -156,3 +156,15 @@ def test_empty_table(spark, places):
     empty = clean_table(spark, [{}]).limit(0)
     total = A.missing_total(empty, list(SCHOOLS.clean_columns)).first()
     assert (total.missing_cells, total.total_cells, total.percent) == (0, 0, 0.0)
+
+
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_counts_and_groups_come_from_one_scan(spark, places, tmp_path):
+    clean_table(spark, [{}, {}, {"SECTOR": "privado"}, {"TELEFONO": "1"}]).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert scans(V.summary(df, SCHOOLS, places)) == 1
+    review = spark.createDataFrame([], "row_id_1 bigint, row_id_2 bigint")
+    assert scans(M.stage_metrics(df, SCHOOLS, raw=True, review=review)) == 1
