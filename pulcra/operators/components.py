@@ -3,7 +3,7 @@
 Alternating large and small stars, the published algorithm for map-reduce
 components: a round rewires every edge towards the smallest node its ends know,
 and the number of rounds is logarithmic in a component's size. Each round is
-written to the shared folder; only its edge count and checksum reach the driver.
+written to the shared folder, in place of the one before; only its edge count and checksum reach the driver.
 The smallest neighbour is a partial aggregate, so a node with very many
 neighbours is one row when it is joined.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulcra.session import written
+from pulcra.session import drop_scratch, scratch_scope, written
 
 
 def _towards_least(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,11 +33,15 @@ def _towards_least(edges: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``links`` (i, j) to (node, root), root being the smallest node reachable.
     Nodes without a link have no row; null ends and loops are no links."""
-    edges = written(links.select(F.greatest("i", "j").alias("u"), F.least("i", "j").alias("v"))
-                    .where("i is not null and j is not null and u <> v").distinct(), "edges")
+    with scratch_scope() as old:
+        edges = written(links.select(F.greatest("i", "j").alias("u"), F.least("i", "j").alias("v"))
+                        .where("i is not null and j is not null and u <> v").distinct(), "edges")
     seen = None
     while True:
-        edges = written(_towards_least(_towards_least(edges, True), False), "edges")
+        with scratch_scope() as new:
+            edges = written(_towards_least(_towards_least(edges, True), False), "edges")
+        drop_scratch(edges.sparkSession, old)  # only the new table is read from now on
+        old = new
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +26,37 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path for one written table."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """The paths of all tables written inside, for :func:`drop_scratch` once
+    nothing reads them any more."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        # By identity: two scopes may hold the same paths.
+        _SCOPES[:] = [s for s in _SCOPES if s is not paths]
+
+
+def drop_scratch(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete written tables. Only paths in the shared folder are touched."""
+    root = shared_dir(spark) + "/"
+    for path in paths:
+        if path.startswith(root) and path != root:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

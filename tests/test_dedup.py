@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulcra.functions.similarity import common_subsequence, tokens, with_token_set_score
+from pulcra import session
 from pulcra.operators import candidates
 from pulcra.operators import dedup as D
 from pulcra.profile import PUBLISHED_REVIEW
@@ -293,6 +294,20 @@ def test_only_digests_and_ids_are_shuffled(spark, tmp_path):
     assert "wide" not in below.split("functions")[0]
 
 
+def test_components_keep_one_table_of_edges(spark, tmp_path, monkeypatch):
+    from pulcra.operators.components import components
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    chain = [(i, i + 1) for i in range(1, 40)]
+    links = spark.createDataFrame([*chain, (100, 99), (99, 98), (98, 98), (None, 5), (7, 3), (7, 3)], "i long, j long")
+    with session.scratch_scope() as paths:
+        got = {r["node"]: r["root"] for r in components(links).collect()}
+    assert got == {**{i: 1 for i in range(1, 41)}, 98: 98, 99: 98, 100: 98}
+    assert len(paths) > 3 and [p.name for p in tmp_path.iterdir()] == [paths[-1].rsplit("/", 1)[1]]
+    session.drop_scratch(spark, [*paths, "/", str(tmp_path)])
+    assert tmp_path.exists() and not list(tmp_path.iterdir()) and not session._SCOPES
+
+
 def test_decisions(spark):
     df = clean_table(spark, [{}] * 4)
     ledger = spark.createDataFrame(
