@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulcra.llm import decontam, exact, mixing, quality, simhash
 from pulcra.llm._base import stored, table
+from pulcra.session import drop_scratch, scratch_scope
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = stored(docs, f"stage-{name}")
-    return docs
+    """All stages. A stage's output is a table of its own, so what it was made
+    from - the stage's own tables and its input - is deleted once it is written."""
+    docs, before = table(spark, sf_dir, "documents"), []
+    for name, stage in STAGES[:-1]:
+        with scratch_scope() as paths:
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        drop_scratch(spark, [*paths[:-1], *before])
+        before = paths[-1:]
+    return STAGES[-1][1](spark, docs, sf_dir)
