@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from pulcra import session
 from pulcra.llm import components, exact, mixing, simhash, suite, warc
 from pulcra.llm._base import ORACLES, QUERIES
 
@@ -265,8 +266,11 @@ def test_pipeline(spark, tmp_path):
     norm = {r[0] for r in spark.read.parquet(f"{tmp_path}/1").select(exact.normalised(F.col("text"))).collect()}
     assert len(norm) == seen["exact"] < seen["quality"] + 1
     assert seen["near"] <= seen["exact"] and seen["benchmark"] < seen["near"]
-    final = corpus_pipeline.run(spark, SF)
+    with session.scratch_scope() as paths:
+        final = corpus_pipeline.run(spark, SF)
     assert final.count() == docs.count() and corpus_pipeline.ORACLE_SQL is None
+    left = [p.rsplit("/", 1)[1].split("-")[0:2] for p in paths if Path(p).exists()]
+    assert [x for x in left if x[0] == "stage"] == [["stage", "benchmark"]] and len(left) < len(paths)
 
 
 def test_pipeline_on_odd_rows(spark, odd):
