@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulcra.functions import text
 from pulcra.functions.predicates import is_nonblank
-from pulcra.session import broadcast_if_small, is_small, joined_to_unique
+from pulcra.session import broadcast_if_small, is_small, joined_to_unique, written
 
 
 def _hinted(side: DataFrame, plain: DataFrame) -> DataFrame:
@@ -52,16 +52,19 @@ def flag_places(
     ``small`` (measured by default) broadcasts the catalogue. A large one never
     meets the rows: it meets their distinct pairs, counted out on the map side,
     so a parent that half of all rows have is a few pairs; the pairs with their
-    flags then join the rows once, broadcast or dealt over salts."""
+    flags then join the rows once, broadcast or dealt over salts. A stream, whose
+    pairs are not known beforehand, joins the catalogue as it is."""
     keys = catalogue_keys(catalogue)
     keyed = df.withColumns({
         "__pk": F.when(F.col(parent).isNotNull(), text.place_key(F.col(parent))),
         "__ck": F.when(F.col(child).isNotNull(), text.place_key(F.col(child))),
     })
     # Folding and distinct only shrink the catalogue, so its own size is a bound.
-    if is_small(catalogue.select(*catalogue.columns[:2])) if small is None else small:
-        pairs = F.broadcast(keys.withColumn("__pair", F.lit(True)))
-        parents = F.broadcast(keys.select(F.col("__parent_key").alias("__p")).distinct().withColumn("__known", F.lit(True)))
+    small = is_small(catalogue.select(*catalogue.columns[:2])) if small is None else small
+    if small or df.isStreaming:
+        hint = F.broadcast if small else (lambda side: side)
+        pairs = hint(keys.withColumn("__pair", F.lit(True)))
+        parents = hint(keys.select(F.col("__parent_key").alias("__p")).distinct().withColumn("__known", F.lit(True)))
         joined = keyed.join(parents, keyed["__pk"] == parents["__p"], "left")
         joined = joined.join(
             pairs,
@@ -74,7 +77,7 @@ def flag_places(
         pairs = keys.toDF("__pk", "__ck").withColumn("__pair", F.lit(True))
         known = joined_to_unique(seen, parents, "__pk", "__ck").join(pairs.hint("merge"), ["__pk", "__ck"], "left")
         place = F.struct("__pk", "__ck")
-        flags = known.select(place.alias("__place"), "__known", "__pair")
+        flags = written(known.select(place.alias("__place"), "__known", "__pair"), "places")
         joined = joined_to_unique(keyed.withColumn("__place", place), flags, "__place", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), "left")
     return joined.withColumns({
         parent_flag: F.coalesce("__known", F.lit(False)),

@@ -96,6 +96,7 @@ CHECK_NAMES = dict(zip(CHECKS, (
     "Valores inválidos diagnosticados",
 )))
 
+# The registry's columns by role, below too.
 _CATEGORIES = (
     "NIVEL", "SECTOR", "AREA", "STATUS", "MODALIDAD", "JORNADA", "PLAN", "DEPARTAMENTAL",
 )
