@@ -176,16 +176,26 @@ def _variant(words: list[str], filler: list[str], rng) -> list[str]:
 
 class Likeness:
     """Whether a line resembles a template: RESEMBLES of the word pairs of one
-    are in the other. Lines without a pair of any template are told by a set."""
+    are in the other. Shared pairs are counted per template by a lookup; only a
+    template that shares enough of them is compared."""
 
     def __init__(self):
         self.templates = [words_of(t) for ts in TEMPLATES.values() for t in ts]
-        self.pairs = {pair for t in self.templates for pair in zip(t, t[1:], strict=False)}
+        self.where: dict[tuple[str, str], list[int]] = {}
+        for k, t in enumerate(self.templates):
+            for pair in set(zip(t, t[1:], strict=False)):
+                self.where.setdefault(pair, []).append(k)
 
     def __call__(self, words: list[str]) -> bool:
-        if self.pairs.isdisjoint(zip(words, words[1:], strict=False)):
-            return False
-        return max(max(pair_share(t, words), pair_share(words, t)) for t in self.templates) >= RESEMBLES
+        shared: dict[int, int] = {}
+        for pair in zip(words, words[1:], strict=False):
+            for k in self.where.get(pair, ()):
+                shared[k] = shared.get(k, 0) + 1
+        for k, n in shared.items():
+            t = self.templates[k]
+            if n >= RESEMBLES * min(len(t) - 1, len(words) - 1) and max(pair_share(t, words), pair_share(words, t)) >= RESEMBLES:
+                return True
+        return False
 
 
 def fit(paragraphs: list[str], common: frozenset[str] = frozenset(), seed: int = 11) -> Scanner:
