@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pulcra.llm._base import query, stored, table
 
 MIN_LENGTH, MIN_COUNT, FACTOR, SLIPS = 7, 2, 10, 31
-LONGEST, BLOCK_BITS, BITS_A_WORD, SLICE, CELLS = 48, 64, 24, 1 << 20, 1 << 20
+LONGEST, BLOCK_BITS, BITS_A_WORD, SLICE, CELLS, TASK_WORDS = 48, 64, 24, 1 << 20, 1 << 20, 1 << 16
 LETTERS = r"A-Za-zÀ-ÿ"
 
 _rng = np.random.default_rng(20)
@@ -169,9 +169,10 @@ def filter_blocks(vocab: DataFrame, layout: Layout) -> DataFrame:
     return stored(rows.groupBy("block").agg(F.bit_or("bits").alias("bits")), "filters")
 
 
-def positives(vocab: DataFrame, layout: Layout, blocks: DataFrame, alphabet: np.ndarray, first: int) -> DataFrame:
+def positives(vocab: DataFrame, layout: Layout, blocks: DataFrame, alphabet: np.ndarray, first: int, words: int) -> DataFrame:
     """hash and edit of the words whose edit is in the filters, as far as its
-    block is one of the SLICE from ``first`` on."""
+    block is one of the SLICE from ``first`` on. ``words`` is the vocabulary's
+    size."""
     part = blocks.filter(F.col("block").between(first, first + SLICE - 1)).toArrow()
     held = np.zeros(min(SLICE, layout.total - first), np.uint64)
     held[np.asarray(part["block"]) - first] = np.asarray(part["bits"]).view(np.uint64)
@@ -197,7 +198,9 @@ def positives(vocab: DataFrame, layout: Layout, blocks: DataFrame, alphabet: np.
                             [pa.array(own[rows[at[hit]]]), pa.array(hashed[hit].view(np.int64))], names=["hash", "edit"])
 
     top = F.lit(True) if high == LONGEST else F.col("size") <= high + 1
-    return vocab.filter((F.col("size") >= low) & top).select("word", "hash").mapInArrow(run, "hash long, edit long")
+    asked = vocab.filter((F.col("size") >= low) & top).select("word", "hash")
+    # A word is a few bytes to read and thousands of probes: tasks go by words.
+    return asked.repartition(1 + words // TASK_WORDS).mapInArrow(run, "hash long, edit long")
 
 
 def near_pairs(vocab: DataFrame) -> DataFrame:
@@ -210,7 +213,7 @@ def near_pairs(vocab: DataFrame) -> DataFrame:
     found = None
     blocks = filter_blocks(vocab, layout)
     for first in range(0, max(1, layout.total), SLICE):
-        part = positives(vocab, layout, blocks, alphabet, first) if layout.total else vocab.select("hash", F.col("hash").alias("edit"))
+        part = positives(vocab, layout, blocks, alphabet, first, sum(counts.values())) if layout.total else vocab.select("hash", F.col("hash").alias("edit"))
         part = stored(part, "positives")
         found = part if found is None else found.unionByName(part)
     one = vocab.select("hash", F.col("word").alias("a"), F.col("n").alias("a_n"))
