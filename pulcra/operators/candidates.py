@@ -34,6 +34,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulcra.session import written
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOLD, CROWD = 1 << 16, 64
@@ -115,7 +117,8 @@ def pairs(entries: DataFrame, at_least: float, exact: list[Column], other_at_lea
     one) to pairs (i, j), i < j, of ids. Every pair of a unit is among them that
     scores ``at_least`` by t and either equals in one of ``exact`` (non-null
     columns) or scores ``other_at_least`` by a."""
-    keyed = with_signature(with_signature(entries, "t", at_least, "_t"), "a", other_at_least, "_a")
+    # Written once: each of the sides below reads it.
+    keyed = written(with_signature(with_signature(entries, "t", at_least, "_t"), "a", other_at_least, "_a"), "keys")
     same = F.array_compact(F.array(*[F.concat(F.lit(f"e{k}:"), c) for k, c in enumerate(exact)]))
     first = {"l": F.concat(_tagged("g", F.col("_t.grams")), _tagged("w", F.col("_t.rare"))),
              "r": F.concat(_tagged("g", F.col("_t.grams")), _tagged("w", F.col("t")))}
@@ -133,9 +136,9 @@ def pairs(entries: DataFrame, at_least: float, exact: list[Column], other_at_lea
 
     def narrowed(side: str) -> DataFrame:
         rows = cells(side).join(crowded, "key", "left")
-        plain = rows.where("full is null").select("id", "n", "key")
-        return plain.unionByName(rows.where("full").select("id", "n", "key", F.explode("more").alias("sub")).select(
-            "id", "n", F.xxhash64("key", "sub").alias("key")))
+        subs = F.when(F.col("full"), F.col("more")).otherwise(F.array(F.lit("")))
+        return rows.select("id", "n", "key", "full", F.explode(subs).alias("sub")).select(
+            "id", "n", F.when(F.col("full"), F.xxhash64("key", "sub")).otherwise(F.col("key")).alias("key"))
 
     left, right = narrowed("l"), narrowed("r")
     fits = F.abs(F.col("n") - F.col("m")) <= F.lit(slack(at_least) + 1e-9) * (F.col("n") + F.col("m"))
