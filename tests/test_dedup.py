@@ -256,6 +256,35 @@ def test_candidates_hold_every_pair_of_the_rule(spark, monkeypatch, crowd, at_le
     assert len(got) == len(set(got)) and want <= set(got) and len(want) > 30
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exploded_keys_never_pass_the_driver(spark):
+    df = spark.createDataFrame([(i, "u", ["COLEGIO", f"W{i}"], ["CALLE"]) for i in range(9)], "id long, unit string, t array<string>, a array<string>")
+    assert "SortMergeJoin" in plan_of(candidates.pairs(df, 94.0, [], 85.0))
+
+
+def test_keys_of_the_blocked_review_are_computed_once(spark):
+    from dataclasses import replace
+
+    from pulcra.profile import PUBLISHED_REVIEW
+
+    plan = plan_of(D.scored_pairs(clean_table(spark, [{}, {}]), replace(SCHOOLS, **PUBLISHED_REVIEW)))
+    assert "_nfkc_arrays" not in plan and "SortMergeJoin" in plan
+
+
+def test_letter_bits_drop_only_what_cannot_score(spark):
+    def kept(x, y, at_least=94.0):
+        sides = [sorted(set(t.split())) for t in (x, y)]
+        rows = [tuple(v for ts in sides for v in (sum(map(len, ts)) + len(ts) - 1, candidates.letter_bits(ts)))]
+        df = spark.createDataFrame(rows, "n int, x long, m int, y long")
+        return df.select(candidates.may_score(candidates.slack(at_least), *map(F.col, ("n", "m", "x", "y")))).first()[0]
+
+    assert kept("ECOLE 12 LARGE RING", "ECOLE 13 LARGE RING") and not kept("ECOLE 12 LARGE RING", "ECOLE 57 LARGE RING")
+    assert kept("COLEGIO", "COLEGIO CENTRAL DE OCCIDENTE") and kept("COLEGIO CENTRAL DE OCCIDENTE", "COLEGIO")
+
+
 def test_clusters_of_many_copies_and_a_word_all_titles_have(spark):
     copies = [{"ESTABLECIMIENTO": "COLEGIO CENTRAL", "DIRECCION": "3A CALLE 4-55", "TELEFONO": None}] * 500
     copies += [{"ESTABLECIMIENTO": "CENTRAL COLEGIO", "DIRECCION": "3A CALLE 4-56", "TELEFONO": None}]
