@@ -176,7 +176,7 @@ def table_fingerprint(spark, sf_dir):
 t AS (SELECT {FILE_ROW}, 1 AS n FROM registry UNION ALL SELECT {FILE_ROW}, -1 FROM b)
 SELECT {FILE_ROW}, CAST(sum(n) AS BIGINT) AS surplus FROM t GROUP BY {FILE_ROW} HAVING sum(n) <> 0""")
 def row_differences(spark, sf_dir):
-    rows = registry(spark, sf_dir).select(*COLS)
+    rows = written(registry(spark, sf_dir).select(*COLS), "rows")
     return X.row_differences(rows, rows.withColumn("segment", F.upper("segment")))
 
 
