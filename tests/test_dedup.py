@@ -256,6 +256,62 @@ def test_candidates_hold_every_pair_of_the_rule(spark, monkeypatch, crowd, at_le
     assert len(got) == len(set(got)) and want <= set(got) and len(want) > 30
 
 
+@pytest.mark.parametrize(("parts", "crowd", "idle"), [(24, 1024, 256), (24, 0, 2), (3, 1024, 0), (1, 2, 256)])
+def test_letter_parts_hold_every_pair_of_the_rule(spark, monkeypatch, parts, crowd, idle):
+    """Against all pairs: short and long titles with slips, at a score where texts
+    go by parts of their letters, by grams where they are too long, or by both."""
+    for name, value in (("PARTS", parts), ("CROWD", crowd), ("IDLE", idle), ("TOLD", 9)):
+        monkeypatch.setattr(candidates, name, value)
+    rng = random.Random(5)
+
+    def slip(text):
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(text))
+            text = text[:at] + rng.choice(["", "X", " ", text[at] + "7"]) + text[at + 1:] or "A"
+        return " ".join(rng.sample(text.split(), len(text.split()))) or "A"
+
+    bases = ["A", "LICEO", "ECOLE 12 LARGE RING", "ECOLE 1234 HOT BOLT ANNEX NO 2", "COLEGIO SAN JOSE DE LOS INFANTES DE OCCIDENTE", "LICEO " + "AB CD EFG HIJKL " * 5]
+    rows = [(i, slip(rng.choice(bases)), slip("3A CALLE 4-55 ZONA 1"), rng.choice(["1", None, None])) for i in range(150)]
+    df = spark.createDataFrame([(i, "u", a, b, c) for i, a, b, c in rows], "id long, unit string, x string, y string, phone string")
+    df = df.withColumns({"t": tokens(F.col("x")), "a": tokens(F.col("y"))})
+    got = [(r.i, r.j) for r in candidates.pairs(df, 94.0, [F.col("phone")], 85.0).collect()]
+    want = {(i, j) for i in range(150) for j in range(i + 1, 150)
+            if plain_score(rows[i][1], rows[j][1]) >= 94
+            and (plain_score(rows[i][2], rows[j][2]) >= 85 or rows[i][3] and rows[i][3] == rows[j][3])}
+    assert len(got) == len(set(got)) and want <= set(got) and len(want) > 100
+
+
+def test_keys_of_many_like_titles_stay_few(spark, monkeypatch):
+    """Titles that share all words but a number, at like addresses: no key is
+    narrowed, which would repeat it for each key of the address."""
+    tables = {}
+
+    def kept(df, label):
+        tables[label] = session.written(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(candidates, "written", kept)
+    rows = [(i, "u", ["ECOLE", "LARGE", "RING", str(1000 + 7 * i)], ["AVENUE", f"BRAND{i % 25}", "ZONE", str(i % 40)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, unit string, t array<string>, a array<string>")
+    assert 0 < candidates.pairs(df, 94.0, [], 85.0).count() < 179_700 / 4
+    assert tables["crowded"].count() == 0
+    assert tables["keys"].select(F.max(F.size("_t.grams") + F.size("_t.rare"))).first()[0] <= 8
+
+
+def test_shuffles_of_a_written_table_are_deleted(spark):
+    def files():
+        disks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        found = disks.getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size()) if found.apply(k).getName().endswith(".data")}
+
+    before = files()
+    counts = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    kept = session.written(counts.hint("merge").join(counts.withColumnRenamed("n", "m").hint("merge"), "k"), "counts")
+    assert not [n for n in files() - before if n.startswith("shuffle")]
+    assert kept.count() == 700
+    assert spark.conf.get(session.SHUFFLES_GO, "false") == "false"
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
