@@ -312,6 +312,24 @@ def test_shuffles_of_a_written_table_are_deleted(spark):
     assert spark.conf.get(session.SHUFFLES_GO, "false") == "false"
 
 
+def written_links(monkeypatch):
+    tables = {}
+
+    def kept(df, label):
+        tables[label] = session.written(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(D, "written", kept)
+    return tables
+
+
+def test_clusters_write_only_the_ends_of_links(spark, monkeypatch):
+    tables = written_links(monkeypatch)
+    rows = [{"ESTABLECIMIENTO": f"LICEO SAN JOSE DE OCCIDENTE {k}", "DIRECCION": "3A CALLE 4-55", "TELEFONO": None} for k in range(9)]
+    assert clusters_of(D.duplicate_clusters(clean_table(spark, rows), SCHOOLS)) == {k: (0, 9) for k in range(9)}
+    assert tables["links"].columns == ["i", "j"] and tables["links"].count() == tables["pairs"].count() == 36
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
