@@ -330,6 +330,13 @@ def test_clusters_write_only_the_ends_of_links(spark, monkeypatch):
     assert tables["links"].columns == ["i", "j"] and tables["links"].count() == tables["pairs"].count() == 36
 
 
+def test_totals_write_only_the_ends_and_copies_of_links(spark, monkeypatch):
+    tables = written_links(monkeypatch)
+    rows = [{"ESTABLECIMIENTO": f"LICEO SAN JOSE DE OCCIDENTE {k // 2}", "DIRECCION": "3A CALLE 4-55", "TELEFONO": None} for k in range(12)]
+    assert tuple(D.review_totals(clean_table(spark, rows), SCHOOLS).first()) == (66, 12)
+    assert tables["links"].columns == ["i", "j", "copies_1", "copies_2"] and tables["links"].count() == 15
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
