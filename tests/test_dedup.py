@@ -337,6 +337,20 @@ def test_totals_write_only_the_ends_and_copies_of_links(spark, monkeypatch):
     assert tables["links"].columns == ["i", "j", "copies_1", "copies_2"] and tables["links"].count() == 15
 
 
+def test_large_blocks_without_a_limit_are_paired_whole_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(D, "DEALT", 20)
+    rows = [{"ESTABLECIMIENTO": "COLEGIO SAN JOSE DE LOS INFANTES", "DIRECCION": "3A CALLE 4-55", "TELEFONO": "55551234"}] * 90
+    rows += [{"ESTABLECIMIENTO": f"LICEO {k}{k}{k}", "DIRECCION": "3A CALLE 4-55", "TELEFONO": None} for k in range(9)] * 2
+    p = replace(SCHOOLS, block_prefix=18)
+    df = clean_table(spark, rows)
+    got = [(r.row_id_1, r.row_id_2) for r in D.near_duplicates(df, p).collect()]
+    want = {(i, j) for i in range(90) for j in range(i + 1, 90)} | {(90 + k, 99 + k) for k in range(9)}
+    assert len(got) == len(want) and set(got) == want
+    kept = [p.row_id]
+    met = D._paired(D.pairable_rows(D.with_keys(df, p), p), p, kept)
+    assert met.where("_how = 'title' and l_row_id < 90").select("_salt").distinct().count() > 4
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
